@@ -22,17 +22,18 @@ def day_of(ts: Column, zone: str | None = None) -> Column:
 
 
 def time_text(ts: Column, zone: str | None = None) -> Column:
-    return F.date_format(local_time(ts, zone), TIME_TEXT)
+    """`yyyy-MM-dd HH:mm:ss`; a cast prints just that before the fraction, and far faster than a pattern."""
+    return F.substring(local_time(ts, zone).cast("string"), 1, len(TIME_TEXT))
 
 
 def text_time(text: Column | str) -> Column:
-    """`yyyy-MM-dd HH:mm:ss` read in the session's zone."""
-    return F.to_timestamp(text, TIME_TEXT)
+    """`yyyy-MM-dd HH:mm:ss` read in the session's zone; a malformed text fails the job."""
+    return (F.col(text) if isinstance(text, str) else text).cast("timestamp")
 
 
 def text_millis(text: Column, offset: str = SHOP_ZONE) -> Column:
     """Epoch milliseconds of a `yyyy-MM-dd HH:mm:ss` text written at a fixed offset."""
-    return F.unix_millis(F.to_timestamp(F.concat(text, F.lit(offset)), TIME_TEXT + "XXX"))
+    return F.unix_millis(F.concat(text, F.lit(offset)).cast("timestamp"))
 
 
 def day_number(ts: Column, zone: str | None = None) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.times import years_between
@@ -73,8 +75,9 @@ def enrich(
     return joined.select(*kept, *[value(n).alias(n) for n in columns])
 
 
-def with_user(facts: DataFrame, users: DataFrame, as_of: Column, **kw) -> DataFrame:
-    age = years_between(F.to_date("birthday"), as_of)
+def with_user(facts: DataFrame, users: DataFrame, as_of: dt.date | None = None, **kw) -> DataFrame:
+    """Age on the day `as_of` (default: today) and gender."""
+    age = years_between(F.to_date("birthday"), F.current_date() if as_of is None else F.lit(as_of))
     return enrich(facts, users, "user_id", {"user_age": age, "user_gender": "gender"}, **kw)
 
 

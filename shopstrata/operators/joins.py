@@ -36,14 +36,19 @@ def _hashable(df: DataFrame) -> list[str]:
 
 
 def spread_hot(
-    big: DataFrame, small: DataFrame, keys: list[tuple[str, str]], spread_by: list[str], share: float = HOT_SHARE
+    big: DataFrame,
+    small: DataFrame,
+    keys: list[tuple[str, str]],
+    spread_by: list[str],
+    counted_in: DataFrame | None = None,
+    share: float = HOT_SHARE,
 ) -> tuple[DataFrame, DataFrame]:
     """Cut the hot keys of `big` into slices and copy their rows of `small` to each slice.
 
     Both sides get a `_slice` column to join on beside the keys; all other keys stay whole in slice 0. `spread_by`
     names columns of `big` that tell rows of one key apart; the slice is a hash of them, so a repeated task repeats it.
     """
-    hot = F.broadcast(hot_keys(big, [b for b, _ in keys], share))
+    hot = F.broadcast(hot_keys(big if counted_in is None else counted_in, [b for b, _ in keys], share))
 
     def slices(df: DataFrame, names: list[str]) -> DataFrame:
         same = reduce(and_, [df[n].eqNullSafe(hot[f"_k{i}"]) for i, n in enumerate(names)])
@@ -64,12 +69,14 @@ def balanced_join(
     spread_by: list[str] | None = None,
     also: Column | None = None,
     sized_by: DataFrame | None = None,
+    counted_in: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join `big` with `small`; in the result they are called `b` and `s`.
 
     A `small` that fits is broadcast. `sized_by` is the table to measure when `small` is derived from one of the same
-    size by joins, whose estimates Spark multiplies. Otherwise both sides are shuffled with the hot keys spread.
-    Streams are joined as they are: their rows per trigger are limited at the source.
+    size by joins, whose estimates Spark multiplies. Otherwise both sides are shuffled with the hot keys spread; they
+    are counted in `counted_in`, a plainer table with the keys of `big`, so that what `big` went through is not done
+    twice. Streams are joined as they are: their rows per trigger are limited at the source.
     """
     same = [F.col(f"b.{b}") == F.col(f"s.{s}") for b, s in keys]
     if also is not None:
@@ -78,7 +85,7 @@ def balanced_join(
         return big.alias("b").join(small.alias("s"), reduce(and_, same), how)
     if fits_broadcast(small if sized_by is None else sized_by):
         return big.alias("b").join(F.broadcast(small).alias("s"), reduce(and_, same), how)
-    cut, copied = spread_hot(big, small, keys, spread_by or _hashable(big))
+    cut, copied = spread_hot(big, small, keys, spread_by or _hashable(big), counted_in)
     same.append(F.col("b._slice") == F.col("s._slice"))
     return cut.alias("b").join(copied.alias("s"), reduce(and_, same), how)
 
@@ -91,6 +98,7 @@ def interval_join(
     lower: str,
     upper: str,
     spread_by: list[str] | None = None,
+    counted_in: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs of equal key whose `big` time lies in [`small` time + lower, `small` time + upper], both ends included.
 
@@ -98,7 +106,7 @@ def interval_join(
     """
     at, base = F.col(f"b.{times[0]}"), F.col(f"s.{times[1]}")
     inside = (at >= base + F.expr(f"interval {lower}")) & (at <= base + F.expr(f"interval {upper}"))
-    return balanced_join(big, small, [key], "inner", spread_by, also=inside)
+    return balanced_join(big, small, [key], "inner", spread_by, also=inside, counted_in=counted_in)
 
 
 def coalesce_rows(first: DataFrame, other: DataFrame, key: str, columns: list[str]) -> DataFrame:

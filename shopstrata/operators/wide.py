@@ -75,10 +75,15 @@ def detail_only(details: DataFrame) -> DataFrame:
 
 
 def join_orders(
-    orders: DataFrame, details: DataFrame, lower: str = "-5 seconds", upper: str = "5 seconds"
+    orders: DataFrame,
+    details: DataFrame,
+    lower: str = "-5 seconds",
+    upper: str = "5 seconds",
+    counted_in: DataFrame | None = None,
 ) -> DataFrame:
     """Details with their order, where the detail was created within [order + lower, order + upper]."""
-    return interval_join(details, orders, ("order_id", "id"), ("create_at", "create_at"), lower, upper, ["id"])
+    times = ("create_at", "create_at")
+    return interval_join(details, orders, ("order_id", "id"), times, lower, upper, ["id"], counted_in)
 
 
 def join_payments(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..operators import dims, stats, visits, wide
 from ..operators.logs import page_rows, repair_is_new
@@ -34,7 +35,7 @@ def order_wide(
     orders: DataFrame,
     details: DataFrame,
     dimensions: Dimensions,
-    as_of: Column | None = None,
+    as_of: dt.date | None = None,
     lower: str = "-5 seconds",
     upper: str = "5 seconds",
     delay: str = "0 seconds",
@@ -45,14 +46,14 @@ def order_wide(
     a line, and the rows that are shuffled for it are the narrow ones. The dimensions are matched by unique key, so
     the result is the same.
     """
-    as_of = F.current_date() if as_of is None else as_of
+    lines = details
     orders = stats.watermarked(wide.derive_order_time(orders), delay, "create_at")
     details = stats.watermarked(wide.derive_create_at(details), delay, "create_at")
     orders = dims.with_user(orders, dimensions.users, as_of, spread_by=["id"])
     orders = dims.with_province(orders, dimensions.provinces, spread_by=["id"])
     flat = dimensions.flat_skus()
     details = dims.with_flat_sku(details, flat, spread_by=["id"], sized_by=dimensions.skus)
-    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper))
+    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper, counted_in=lines))
 
 
 def payment_wide(

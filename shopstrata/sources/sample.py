@@ -234,7 +234,7 @@ def categories(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cdc_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Changes of orders (inserted while open, then updated, or loaded initially) and of customers."""
+    """Changes of orders (inserts, updates and rows of an initial load) and of customers, some of them empty."""
     orders = table(spark, folder, "orders")
     status = F.col("o_orderstatus")
     order_rows = orders.select(
@@ -253,10 +253,10 @@ def cdc_rows(spark: SparkSession, folder: str) -> DataFrame:
     customer_rows = customers.select(
         F.lit("shop").alias("database"),
         F.lit("user_info").alias("table"),
-        F.when(F.pmod("c_custkey", F.lit(10)) == 9, "delete").otherwise("insert").alias("type"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "delete").otherwise("insert").alias("type"),
         (F.col("c_custkey") + 2_000_000_000).alias("xid"),
         F.when(
-            F.pmod("c_custkey", F.lit(11)) != 0,
+            F.col("c_acctbal") >= 0,
             F.create_map(
                 F.lit("id"), F.col("c_custkey").cast("string"),
                 F.lit("name"), F.col("c_name"),
@@ -268,7 +268,7 @@ def cdc_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def row_changes(spark: SparkSession, folder: str) -> DataFrame:
-    """Log entries of orders: deletes, updates and inserts of up to three rows, between transaction marks."""
+    """Log entries of orders: deletes, updates and inserts of up to three rows, some entries being transaction marks."""
     status, key = F.col("o_orderstatus"), F.col("o_orderkey")
 
     def image(value: Column) -> Column:
@@ -281,7 +281,7 @@ def row_changes(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("order_info").alias("table"),
         F.when(status == "F", "DELETE").when(status == "P", "UPDATE").otherwise("INSERT").alias("event_type"),
         key.alias("execute_time"),
-        F.when(F.pmod(key, F.lit(10)) == 0, "TRANSACTIONBEGIN").otherwise("ROWDATA").alias("entry_type"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "TRANSACTIONBEGIN").otherwise("ROWDATA").alias("entry_type"),
         rows.alias("rows"),
     )
 
