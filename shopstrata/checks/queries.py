@@ -62,10 +62,8 @@ def order_wide_of(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bare_order_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """Wide orders without dimensions."""
-    orders = wide.derive_order_time(sample.order_info(spark, folder))
-    details = wide.derive_create_at(sample.order_detail(spark, folder))
-    return wide.merge_order_wide(wide.join_orders(orders, details, **ORDER_BOUNDS))
+    orders, details = sample.order_info(spark, folder), sample.order_detail(spark, folder)
+    return layers.bare_order_wide(orders, details, **ORDER_BOUNDS)
 
 
 def page_columns(pages: DataFrame) -> DataFrame:

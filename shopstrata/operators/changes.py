@@ -89,6 +89,11 @@ def dim_changes(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("sink_type") == SINK_DIM)
 
 
+def dim_routes(routing: DataFrame) -> DataFrame:
+    """The routing rows that describe dimension tables."""
+    return routing.where(F.col("sink_type") == SINK_DIM)
+
+
 def topic_records(routed: DataFrame, default: str = DWD_DEFAULT) -> DataFrame:
     """Topic and JSON payload of each routed change."""
     topic = F.coalesce(F.col("sink_table"), F.lit(default))

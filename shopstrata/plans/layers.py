@@ -38,17 +38,15 @@ def order_wide(
     as_of: dt.date | None = None,
     lower: str = "-5 seconds",
     upper: str = "5 seconds",
-    delay: str = "0 seconds",
 ) -> DataFrame:
-    """Order lines with their order and all dimensions.
+    """Batch form: order lines with their order and all dimensions.
 
     Each side gets its dimensions before the two are joined: an order meets its user and province once instead of once
     a line, and the rows that are shuffled for it are the narrow ones. The dimensions are matched by unique key, so
     the result is the same.
     """
     lines = details
-    orders = stats.watermarked(wide.derive_order_time(orders), delay, "create_at")
-    details = stats.watermarked(wide.derive_create_at(details), delay, "create_at")
+    orders, details = wide.derive_order_time(orders), wide.derive_create_at(details)
     orders = dims.with_user(orders, dimensions.users, as_of, spread_by=["id"])
     orders = dims.with_province(orders, dimensions.provinces, spread_by=["id"])
     flat = dimensions.flat_skus()
@@ -56,6 +54,23 @@ def order_wide(
     return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper, counted_in=lines))
 
 
+def bare_order_wide(
+    orders: DataFrame, details: DataFrame, lower: str = "-5 seconds", upper: str = "5 seconds", delay: str = "0 seconds"
+) -> DataFrame:
+    """Order lines with their order, without dimensions; the form for streams, which are named per micro-batch."""
+    orders = stats.watermarked(wide.derive_order_time(orders), delay, "create_at")
+    details = stats.watermarked(wide.derive_create_at(details), delay, "create_at")
+    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper))
+
+
+def name_order_wide(bare: DataFrame, dimensions: Dimensions, as_of: dt.date | None = None) -> DataFrame:
+    """Add the dimensions to bare wide orders."""
+    rows = dims.with_user(bare, dimensions.users, as_of, spread_by=["detail_id"])
+    rows = dims.with_province(rows, dimensions.provinces, spread_by=["detail_id"])
+    rows = dims.with_flat_sku(rows, dimensions.flat_skus(), spread_by=["detail_id"], sized_by=dimensions.skus)
+    return rows.select(*bare.columns)
+
+
 def payment_wide(
     payments: DataFrame,
     orders_wide: DataFrame,
@@ -104,7 +119,10 @@ def product_rows(
 
 def product_stats(rows: DataFrame, dimensions: Dimensions, size: str = "2 seconds", delay: str = "10 seconds") -> DataFrame:
     """Product statistics, aggregated first and named afterwards."""
-    grouped = stats.product_stats(rows, size, delay)
+    return name_products(stats.product_stats(rows, size, delay), dimensions)
+
+
+def name_products(grouped: DataFrame, dimensions: Dimensions) -> DataFrame:
     return dims.with_flat_sku(
         grouped, dimensions.flat_skus(), price=True, spread_by=["stt"], sized_by=dimensions.skus
     )

@@ -35,6 +35,22 @@ APP_LOG = T.StructType([
     T.StructField("ts", T.LongType()),
 ])
 
+# What the log split writes: `log_id` is the record's position in the raw topic.
+_LOG_META = [T.StructField("ts", T.LongType()), T.StructField("log_id", T.LongType())]
+PAGE_LOG = T.StructType([
+    T.StructField("common", COMMON),
+    T.StructField("page", PAGE),
+    T.StructField("displays", DISPLAYS),
+    *_LOG_META,
+])
+START_LOG = T.StructType([T.StructField("common", COMMON), T.StructField("start", START), *_LOG_META])
+DISPLAY_LOG = T.StructType([
+    T.StructField("common", COMMON),
+    T.StructField("page_id", T.StringType()),
+    T.StructField("item", T.StringType()),
+    *_LOG_META,
+])
+
 STRING_MAP = T.MapType(T.StringType(), T.StringType())
 
 PAGE_VIEW = T.StructType([

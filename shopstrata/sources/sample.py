@@ -13,9 +13,28 @@ from ..functions.times import time_text
 from ..schemas import MONEY, ROUTING
 
 
+# Columns of the sample tables, declared so that no job has to infer them.
+_COLUMNS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
+        " o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+        " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A sample table; its zone-less times become instants of the session's zone."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
     zoneless = [n for n, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({n: F.col(n).cast("timestamp") for n in zoneless})
 
