@@ -246,7 +246,8 @@ def coalesce_order_wide(spark, folder):
 
 @query
 def merge_payment_wide(spark, folder):
-    rows = layers.payment_wide(sample.payment_info(spark, folder), bare_order_wide(spark, folder))
+    orders = stage(bare_order_wide(spark, folder), "bare_order_wide")
+    rows = layers.payment_wide(sample.payment_info(spark, folder), orders)
     return rows.select(
         "payment_id", "order_id", "detail_id", "sku_id", "user_id", "subject", "payment_type", "payment_create_time",
         "order_create_time", "callback_time", number("total_amount"), number("split_total_amount"),
@@ -411,7 +412,7 @@ def dwm_order_wide(spark, folder):
 
 @query
 def dwm_payment_wide(spark, folder):
-    orders = order_wide_of(spark, folder)
+    orders = stage(order_wide_of(spark, folder), "order_wide")
     rows = layers.payment_wide(sample.payment_info(spark, folder), orders)
     return rows.select(
         "payment_id", "order_id", "detail_id", "sku_id", "sku_name", "payment_create_time", "province_name",
@@ -552,8 +553,8 @@ def prod_order(spark, folder):
 
 @query
 def prod_payment(spark, folder):
-    payments = layers.payment_wide(sample.payment_info(spark, folder), bare_order_wide(spark, folder))
-    return product_columns(stats.paid(payments))
+    orders = stage(bare_order_wide(spark, folder), "bare_order_wide")
+    return product_columns(stats.paid(layers.payment_wide(sample.payment_info(spark, folder), orders)))
 
 
 @query
