@@ -34,7 +34,8 @@ RUNS = 2
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 8)
-    spark = local_session(cores, "bench")
+    # Without the call sites that error messages would show, plans are built faster.
+    spark = local_session(cores, "bench", **{"spark.sql.dataFrameQueryContext.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}
     for name in HEADLINE:

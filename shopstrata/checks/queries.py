@@ -11,7 +11,7 @@ from ..constants import SINK_DIM, SINK_STREAM
 from ..functions import jsonio, times, words
 from ..operators import changes, dims, joins, logs, reports, stats, visits, wide
 from ..plans import layers
-from ..schemas import APP_LOG, ORDER_INFO, PROVINCE_STATS, ROUTING
+from ..schemas import APP_LOG, ORDER_INFO, PROVINCE_STATS
 from ..session import stage
 from ..sources import jdbc, sample, topics
 from ..streaming import sinks
@@ -318,12 +318,12 @@ def cdc_type_normalise(spark, folder):
 
 @query
 def config_refresh(spark, folder):
-    fresh = spark.createDataFrame(
+    fresh = changes.routing_rows(
+        spark,
         [
             ("order_info", "update", SINK_STREAM, "dwd_order_status", "id,priority", None, None),
             ("user_info", "delete", SINK_DIM, "dim_user_gone", "id", "id", None),
         ],
-        ROUTING,
     )
     return _routed(changes.route_changes(sample.cdc_rows(spark, folder), changes.merge_routing(sample.routing(spark), fresh)))
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import DWD_DEFAULT, SINK_DIM, SINK_STREAM
+from ..schemas import ROUTING
 from .joins import balanced_join
 
 _ROUTE_KEYS = [("table", "source_table"), ("type", "operate_type")]
@@ -49,6 +51,13 @@ def project_columns(data: Column, sink_columns: Column) -> Column:
     return F.map_filter(data, lambda key, _: F.array_contains(names, key))
 
 
+def routing_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Routing rows held on the driver as a table whose size Spark knows, so that it is broadcast."""
+    columns = zip(*rows) if rows else [()] * len(ROUTING.names)
+    table = pa.table({name: pa.array(values, pa.string()) for name, values in zip(ROUTING.names, columns)})
+    return spark.createDataFrame(table)
+
+
 def merge_routing(old: DataFrame, fresh: DataFrame) -> DataFrame:
     """Routing rows after a reload: fresh rows are added or replace theirs, rows no longer listed stay."""
     keys = [k for _, k in _ROUTE_KEYS]

@@ -68,22 +68,20 @@ def page_rows(log: DataFrame, exclusive: bool = False) -> DataFrame:
 
 def route_log(log: DataFrame, exclusive: bool = False) -> DataFrame:
     """All three outputs in one pass: the topic of each record and its JSON text."""
-    shown = F.coalesce(F.size("displays"), F.lit(0)) > 0
     meta = [c for c in log.columns if c not in ("start", "page", "displays")]
-
-    def record(topic: str, *fields: Column | str) -> Column:
-        return F.struct(F.lit(topic).alias("topic"), F.to_json(F.struct(*fields)).alias("value"))
-
-    none = F.array().cast("array<struct<topic:string,value:string>>")
-    start = F.array(record(DWD_START, *meta, "start"))
-    page = F.array(record(DWD_PAGE, *meta, "page", "displays"))
-    displays = F.transform(
-        "displays", lambda d: record(DWD_DISPLAY, *meta, F.col("page.page_id").alias("page_id"), d["item"].alias("item"))
-    )
-    beside = F.when(shown, none).otherwise(page) if exclusive else page
-    out = F.when(F.col("start").isNotNull(), start).otherwise(
-        F.concat(beside, F.when(shown, displays).otherwise(none))
+    targets = "array<struct<topic:string,item:string>>"
+
+    def target(topic: str, item: Column) -> Column:
+        return F.struct(F.lit(topic).alias("topic"), item.cast("string").alias("item"))
+
+    shown = F.coalesce(F.transform("displays", lambda d: target(DWD_DISPLAY, d["item"])), F.array().cast(targets))
+    page = F.array(target(DWD_PAGE, F.lit(None)))
+    start = F.array(target(DWD_START, F.lit(None)))
+    beside = F.when(F.size(shown) > 0, F.array().cast(targets)).otherwise(page) if exclusive else page
+    out = F.when(F.col("start").isNotNull(), start).otherwise(F.concat(beside, shown))
+    value = (
+        F.when(F.col("_t.topic") == DWD_START, F.to_json(F.struct(*meta, "start")))
+        .when(F.col("_t.topic") == DWD_PAGE, F.to_json(F.struct(*meta, "page", "displays")))
+        .otherwise(F.to_json(F.struct(*meta, F.col("page.page_id").alias("page_id"), F.col("_t.item").alias("item"))))
     )
-    return log.select(F.explode(out).alias("_o")).select("_o.*")
-
-
+    return log.select("*", F.explode(out).alias("_t")).select(F.col("_t.topic").alias("topic"), value.alias("value"))

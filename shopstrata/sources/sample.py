@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import SINK_DIM, SINK_STREAM
 from ..functions.times import time_text
-from ..schemas import MONEY, ROUTING
+from ..operators.changes import routing_rows
+from ..schemas import MONEY
 
 
 # Columns of the sample tables, declared so that no job has to infer them.
@@ -306,9 +307,8 @@ def row_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def routing(spark: SparkSession) -> DataFrame:
-    rows = [
+    return routing_rows(spark, [
         ("order_info", "insert", SINK_STREAM, "dwd_order_info", "id,user_id,order_status", "id", None),
         ("order_info", "update", SINK_STREAM, "dwd_order_info_update", "id,order_status", None, None),
         ("user_info", "insert", SINK_DIM, "dim_user_info", "id,name", None, None),
-    ]
-    return spark.createDataFrame(rows, ROUTING)
+    ])

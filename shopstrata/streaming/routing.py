@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.changes import routing_rows
 from ..schemas import ROUTING
 
 # One row per source table and operation of a database; more would not be a configuration.
@@ -34,4 +35,4 @@ class RoutingConfig:
             self._read_at = now
         if not self._rows:
             raise RuntimeError("the routing configuration has no rows")
-        return spark.createDataFrame(list(self._rows.values()), ROUTING)
+        return routing_rows(spark, list(self._rows.values()))
