@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,7 +13,7 @@ from ..functions import jsonio, times, words
 from ..operators import changes, dims, joins, logs, reports, stats, visits, wide
 from ..plans import layers
 from ..schemas import APP_LOG, ORDER_INFO, PROVINCE_STATS
-from ..session import stage
+from ..session import shared_dir, stage
 from ..sources import jdbc, sample, topics
 from ..streaming import sinks
 
@@ -286,13 +287,14 @@ def dwd_log_split_exclusive(spark, folder):
 @query
 def dwd_log_topics(spark, folder):
     records = logs.route_log(logs.repair_is_new(sample.app_log(spark, folder)))
-    value = lambda path: F.get_json_object("value", path)
-    return records.select(
+    fields = "log_id long, common struct<is_new:string>, page struct<page_id:string, item:string>, page_id string, item string"
+    rows = records.select("topic", F.from_json("value", fields).alias("r"))
+    return rows.select(
         "topic",
-        value("$.log_id").cast("long").alias("log_id"),
-        value("$.common.is_new").alias("is_new"),
-        F.coalesce(value("$.page_id"), value("$.page.page_id")).alias("page_id"),
-        F.coalesce(value("$.item"), value("$.page.item")).alias("item"),
+        "r.log_id",
+        "r.common.is_new",
+        F.coalesce("r.page_id", "r.page.page_id").alias("page_id"),
+        F.coalesce("r.item", "r.page.item").alias("item"),
     )
 
 
@@ -612,6 +614,41 @@ def state_user_jump_10s(spark, folder):
     return page_columns(visits.user_jumps(raw_pages(spark, folder)))
 
 
+# Streams of the tables' files, drained into the shared folder
+
+
+def _drained(rows: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    spark = rows.sparkSession
+    root = f"{shared_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
+    sinks.start_batches(rows, sinks.batch_folders(f"{root}/rows"), f"{root}/checkpoint", mode).awaitTermination()
+    return spark.read.parquet(f"{root}/rows")
+
+
+@query
+def wm_monotonic(spark, folder):
+    """The payment join on two streams with watermarks of their own."""
+    payments = wide.derive_create_at(sample.payment_info(spark, folder, stream=True))
+    orders = wide.derive_create_at(wide.order_only(sample.order_info(spark, folder, stream=True)))
+    pairs = wide.join_payments(
+        stats.watermarked(payments, "0 seconds", "create_at"), stats.watermarked(orders, "0 seconds", "create_at")
+    )
+    rows = pairs.select(
+        F.col("s.id").alias("payment_id"), F.col("b.order_id").alias("order_id"),
+        F.col("s.create_time").alias("payment_time"), F.col("b.create_time").alias("order_time"),
+    )
+    return _drained(rows, "wm_monotonic").drop("batch")
+
+
+@query
+def wm_bounded(spark, folder):
+    """Counts by window of a stream, updated batch by batch; the last update of a window counts."""
+    events = stats.watermarked(sample.table(spark, folder, "events", stream=True), "1 second")
+    counted = events.groupBy(F.window("ts", "10 seconds").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("ct"))
+    rows = counted.select(*times.window_bounds(F.col("w")), "event_type", "ct")
+    updates = _drained(rows, "wm_bounded", "update")
+    return updates.groupBy("stt", "edt", "event_type").agg(F.max_by("ct", "batch").alias("ct"))
+
+
 # Scalar and table functions
 
 

@@ -80,3 +80,19 @@ KEYWORD_ORDER = "ORDER"
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
 DAY_TEXT = "yyyyMMdd"
 SHOP_ZONE = "+08:00"
+
+# Dimension tables and the columns the jobs use; the key is `id`.
+DIMENSIONS = {
+    "users": ("dim_user_info", "id birthday gender"),
+    "provinces": ("dim_base_province", "id name area_code iso_code iso_3166_2"),
+    "skus": ("dim_sku_info", "id sku_name price spu_id tm_id category3_id"),
+    "spus": ("dim_spu_info", "id spu_name"),
+    "trademarks": ("dim_base_trademark", "id tm_name"),
+    "categories": ("dim_base_category3", "id name"),
+}
+
+# Serving tables.
+VISITOR_TABLE = "visitor_stats"
+PRODUCT_TABLE = "product_stats"
+PROVINCE_TABLE = "province_stats"
+KEYWORD_TABLE = "keyword_stats"

@@ -10,12 +10,17 @@ _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def of_day(stats: DataFrame, day: dt.date | None = None) -> DataFrame:
-    """Windows that start on `day` (default: today). A range on the text `stt`, which reaches the scan as it is."""
+    """Windows that start on `day` (default: today). A range on the text `stt`, which reaches the scan as it is.
+
+    A table kept by day has a `dt` column besides; it leaves the other days' files unread.
+    """
     if day is None:
         first = F.date_format(F.current_date(), "yyyy-MM-dd")
         after = F.date_format(F.date_add(F.current_date(), 1), "yyyy-MM-dd")
     else:
         first, after = F.lit(day.isoformat()), F.lit((day + dt.timedelta(days=1)).isoformat())
+    if "dt" in stats.columns:
+        stats = stats.where(F.col("dt") == first.cast("date"))
     return stats.where((F.col("stt") >= first) & (F.col("stt") < after))
 
 

@@ -19,6 +19,8 @@ def local_session(cores: int | str = 8, app: str = "shopstrata", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Wide rows make generated methods that the JVM would otherwise leave uncompiled.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.sql.adaptive.enabled", "true")
     )
     for key, value in conf.items():

@@ -33,9 +33,12 @@ _COLUMNS = {
 }
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A sample table; its zone-less times become instants of the session's zone."""
-    df = spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, stream: bool = False) -> DataFrame:
+    """A sample table, or the stream of its files; its zone-less times become instants of the session's zone."""
+    path = f"{folder}/{name}.parquet"
+    # The pattern lets a stream read a table that is one file as well as one that is a folder of files.
+    reader, path = (spark.readStream, f"{path}*") if stream else (spark.read, path)
+    df = reader.schema(_COLUMNS[name]).parquet(path)
     zoneless = [n for n, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({n: F.col(n).cast("timestamp") for n in zoneless})
 
@@ -104,8 +107,8 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     return log.select(F.to_json(F.struct("common", "start", "page", "displays", "ts")).alias("value"), "log_id")
 
 
-def order_info(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders")
+def order_info(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+    orders = table(spark, folder, "orders", stream)
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nothing = F.lit(0).cast(MONEY)
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").select(
@@ -141,9 +144,9 @@ def order_detail(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def payment_info(spark: SparkSession, folder: str) -> DataFrame:
+def payment_info(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     """Orders that are finished or partly shipped, paid up to half an hour after they were made."""
-    orders = table(spark, folder, "orders").where(F.col("o_orderstatus").isin("F", "P"))
+    orders = table(spark, folder, "orders", stream).where(F.col("o_orderstatus").isin("F", "P"))
     paid_at = F.timestamp_add("MINUTE", F.pmod("o_orderkey", F.lit(30)).cast("int"), "o_orderdate")
     return orders.select(
         (F.col("o_orderkey") + 1_000_000_000).alias("id"),

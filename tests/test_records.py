@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shopstrata.constants import STATUS_CODES
 from shopstrata.functions import jsonio, times, words
 from shopstrata.operators import changes, dims, logs, reports, stats, visits, wide
-from shopstrata.schemas import APP_LOG, CDC_ROW, CDC_ROWCHANGE, PAGE_VIEW, PRODUCT_STATS, ROUTING
+from shopstrata.schemas import APP_LOG, CDC_ROW, CDC_ROWCHANGE, ORDER_INFO, PAGE_VIEW, PRODUCT_STATS, ROUTING
 from shopstrata.sources import jdbc, topics
 from shopstrata.sources.dimstore import DimTable
 from shopstrata.streaming import sinks
@@ -41,7 +41,7 @@ def test_start_and_page_records(spark):
 
 def test_bad_text_is_dirty_and_good_text_is_not(spark):
     bad = ["", "nope", "null", "5", '{"ts":"x"}', '{"ts":1']
-    marked = jsonio.parse_or_mark(text(spark, START, PAGE, *bad), APP_LOG)
+    marked = jsonio.parse_or_mark(text(spark, START, PAGE, *bad), APP_LOG, required=("ts",))
     assert jsonio.clean(marked).count() == 2
     assert sorted(r[0] for r in jsonio.dirty(marked).collect()) == sorted(bad)
 
@@ -51,6 +51,13 @@ def test_bad_text_fails_a_strict_job(spark):
         jsonio.parse(text(spark, "nope"), APP_LOG).collect()
 
 
+def test_numbers_may_be_texts(spark):
+    rows = jsonio.parse(text(spark, '{"id":"1","total_amount":"2.50"}', '{"id":1,"total_amount":2.5}'), ORDER_INFO)
+    assert rows.select("id", F.col("total_amount").cast("string")).distinct().collect() == [(1, "2.50")]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        jsonio.parse(text(spark, '{"id":"x"}'), ORDER_INFO).collect()
+
+
 def test_repeated_key_in_a_map_keeps_its_last_value(spark):
     row = topics.page_views(text(spark, START)).select(F.col("common")["vc"], F.map_keys("common")).first()
     assert row[0] == "v2" and row[1].count("vc") == 1
