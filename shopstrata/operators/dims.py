@@ -54,17 +54,19 @@ def enrich(
     dim_key: str = "id",
     spread_by: list[str] | None = None,
     sized_by: DataFrame | None = None,
+    counted_in: DataFrame | None = None,
 ) -> DataFrame:
     """Add `columns` (new name: dimension expression) by key. A fact without a match passes with its own values.
 
-    `dim_key` is unique in `dim`. `spread_by` names fact columns that tell rows of one key apart.
+    `dim_key` is unique in `dim`. `spread_by` names fact columns that tell rows of one key apart. In a chain of these,
+    `counted_in` is the first one's facts.
     """
     key_type = facts.schema[key].dataType
     small = dim.select(
         F.col(dim_key).cast(key_type).alias("_key"),
         *[(F.col(e) if isinstance(e, str) else e).alias(f"_new_{n}") for n, e in columns.items()],
     )
-    joined = balanced_join(facts, small, [(key, "_key")], "left", spread_by, sized_by=sized_by or dim)
+    joined = balanced_join(facts, small, [(key, "_key")], "left", spread_by, None, sized_by or dim, counted_in)
     hit = F.col("s._key").isNotNull()
 
     def value(name: str) -> Column:
@@ -119,8 +121,9 @@ def flat_skus(skus: DataFrame, spus: DataFrame, trademarks: DataFrame, categorie
     flat = skus.select(
         "id", "sku_name", "price", *[F.col(c).cast("long").alias(c) for c in ("spu_id", "tm_id", "category3_id")]
     )
+    plain = flat
     for add, table in ((with_spu, spus), (with_trademark, trademarks), (with_category3, categories)):
-        flat = add(flat, table, spread_by=["id"])
+        flat = add(flat, table, spread_by=["id"], counted_in=plain)
     return flat
 
 

@@ -45,12 +45,12 @@ def order_wide(
     a line, and the rows that are shuffled for it are the narrow ones. The dimensions are matched by unique key, so
     the result is the same.
     """
-    lines = details
+    heads, lines = orders, details
     orders, details = wide.derive_order_time(orders), wide.derive_create_at(details)
-    orders = dims.with_user(orders, dimensions.users, as_of, spread_by=["id"])
-    orders = dims.with_province(orders, dimensions.provinces, spread_by=["id"])
+    orders = dims.with_user(orders, dimensions.users, as_of, spread_by=["id"], counted_in=heads)
+    orders = dims.with_province(orders, dimensions.provinces, spread_by=["id"], counted_in=heads)
     flat = dimensions.flat_skus()
-    details = dims.with_flat_sku(details, flat, spread_by=["id"], sized_by=dimensions.skus)
+    details = dims.with_flat_sku(details, flat, spread_by=["id"], sized_by=dimensions.skus, counted_in=lines)
     return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper, counted_in=lines))
 
 
@@ -64,10 +64,11 @@ def bare_order_wide(
 
 
 def name_order_wide(bare: DataFrame, dimensions: Dimensions, as_of: dt.date | None = None) -> DataFrame:
-    """Add the dimensions to bare wide orders."""
-    rows = dims.with_user(bare, dimensions.users, as_of, spread_by=["detail_id"])
-    rows = dims.with_province(rows, dimensions.provinces, spread_by=["detail_id"])
-    rows = dims.with_flat_sku(rows, dimensions.flat_skus(), spread_by=["detail_id"], sized_by=dimensions.skus)
+    """Add the dimensions to bare wide orders, a table (or kept micro-batch) that is read more than once."""
+    by = {"spread_by": ["detail_id"], "counted_in": bare}
+    rows = dims.with_user(bare, dimensions.users, as_of, **by)
+    rows = dims.with_province(rows, dimensions.provinces, **by)
+    rows = dims.with_flat_sku(rows, dimensions.flat_skus(), sized_by=dimensions.skus, **by)
     return rows.select(*bare.columns)
 
 

@@ -89,14 +89,12 @@ def warehouse(spark):
     for app in apps.APPS.values():
         app(w).awaitTermination()
     far = {"id": -1, "order_id": -2, "sku_id": -1, "create_time": FAR}
-    pages = [{k: v for k, v in r.items()} for r in CLOSING]
-    for batch in (1, 2, 3):
-        facts = {f"dwd_{r['table']}": [far] for r in FACTS}
-        wide = {C.DWM_ORDER_WIDE: [far], C.DWM_UNIQUE_VISIT: pages, C.DWM_USER_JUMP: pages}
-        send(batch, **facts, **wide, **{C.DWD_PAGE: pages, C.DWM_PAYMENT_WIDE: [{"sku_id": -1, "payment_create_time": FAR}]})
-        for name, app in apps.APPS.items():
-            if name not in ("log_split", "change_route"):
-                app(w).awaitTermination()
+    facts = {f"dwd_{r['table']}": [far] for r in FACTS}
+    wide = {C.DWM_ORDER_WIDE: [far], C.DWM_UNIQUE_VISIT: CLOSING, C.DWM_USER_JUMP: CLOSING}
+    send(1, **facts, **wide, **{C.DWD_PAGE: CLOSING, C.DWM_PAYMENT_WIDE: [{"sku_id": -1, "payment_create_time": FAR}]})
+    for name, app in apps.APPS.items():
+        if name not in ("log_split", "change_route"):
+            app(w).awaitTermination()
     return w
 
 
