@@ -149,13 +149,15 @@ def main(argv: list[str] | None = None) -> None:
     where.add_argument("--topic-folder", help="shared folder holding topics as text files")
     parser.add_argument("--routing-url", help="JDBC address of the routing configuration")
     parser.add_argument("--routing-query", default="select * from table_process")
+    parser.add_argument("--once", action="store_true", help="process what is there and stop")
     args = parser.parse_args(argv)
     provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     builder = SparkSession.builder.appName(args.app).config("spark.sql.streaming.stateStore.providerClass", provider)
     spark = builder.getOrCreate()
     topics = KafkaTopics(args.servers) if args.servers else FolderTopics(args.topic_folder)
     routing = (lambda: read_query(spark, args.routing_url, args.routing_query)) if args.routing_url else None
-    APPS[args.app](Warehouse(spark, topics, args.root, routing)).awaitTermination()
+    trigger = {"availableNow": True} if args.once else {"processingTime": "10 seconds"}
+    APPS[args.app](Warehouse(spark, topics, args.root, routing, trigger=trigger)).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -142,3 +142,14 @@ def test_reports(warehouse):
     assert float(reports.gmv(table, day).first()[0]) == 30.0
     top = reports.top_trademarks(table.where("tm_name is not null"), day, 5)
     assert json.loads(reports.chart_series(top).first()[0])["data"]["categories"] == ["Acme"]
+
+
+def test_command_line(warehouse, capsys):
+    where = ["--root", warehouse.root, "--topic-folder", f"{warehouse.root}/topics", "--once"]
+    before = served(warehouse, C.KEYWORD_TABLE).count()
+    apps.main(["keyword_stats", *where])
+    assert served(warehouse, C.KEYWORD_TABLE).count() == before
+    with pytest.raises(SystemExit):
+        apps.main(["keyword_stats", "--root", warehouse.root])
+    with pytest.raises(ValueError):
+        apps.main(["change_route", *where])

@@ -126,6 +126,9 @@ def test_dim_table_upserts_by_column_and_repeats_batches(spark):
     expected = {("1", "Anna", None), ("2", "Bo", None)}
     assert {tuple(r) for r in table.read().collect()} == expected
     table.compact(1)
+    table.compact(1)
+    assert {tuple(r) for r in table.read().collect()} == expected
+    table.write(dim_changes(spark, (4, {"id": "1", "name": "again"})), 1)
     assert {tuple(r) for r in table.read().collect()} == expected
     table.write(dim_changes(spark, (6, {"id": "2", "city": "Rome"})), 2)
     assert {tuple(r) for r in table.read().collect()} == {("1", "Anna", None), ("2", "Bo", "Rome")}

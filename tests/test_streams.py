@@ -219,9 +219,27 @@ def test_changes_follow_the_configuration(spark):
         ("order_info", "insert", "kafka", "dwd_order_info", "id", "id", None),
     ]
     config = RoutingConfig(lambda: spark.createDataFrame(rows, ROUTING))
-    write = jobs.routed_changes(config, sinks.batch_folders(str(work / "records")), str(work / "dims"))
+    write = jobs.routed_changes(config, sinks.batch_folders(str(work / "records")), str(work / "dims"), compact_every=1)
     sinks.start_batches(jobs.change_rows(lines(spark, folder)), write, str(work / "cp")).awaitTermination()
     records = spark.read.parquet(str(work / "records")).select("topic", "value").collect()
     assert [tuple(r) for r in records] == [("dwd_order_info", '{"id":"9"}')]
     users = DimTable(spark, str(work / "dims"), "dim_user", ["id", "name"]).read()
     assert [tuple(r) for r in users.collect()] == [("1", "Anna")]
+
+
+def test_records_to_a_folder_per_topic_once(spark):
+    folder, work = new_dir() / "log", new_dir()
+    for n in range(2):
+        write_file(folder, [page(f"m{n}", n)])
+        records = lines(spark, folder).select(F.lit(f"topic{n}").alias("topic"), "value")
+        writer = sinks.folder_writer(records, str(work / "out"), str(work / "cp"), ["topic"])
+        writer.trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(str(work / "out")).groupBy("topic").count()
+    assert dict(found.collect()) == {"topic0": 1, "topic1": 1}
+
+
+def test_console_writer_starts(spark):
+    folder, work = new_dir() / "log", new_dir()
+    write_file(folder, [page("m", 1)])
+    writer = sinks.console_writer(lines(spark, folder)).option("checkpointLocation", str(work / "cp"))
+    writer.trigger(availableNow=True).start().awaitTermination()
