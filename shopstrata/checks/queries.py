@@ -59,12 +59,13 @@ def dimensions(spark: SparkSession, folder: str) -> layers.Dimensions:
 
 def order_wide_of(spark: SparkSession, folder: str) -> DataFrame:
     orders, details = sample.order_info(spark, folder), sample.order_detail(spark, folder)
-    return layers.order_wide(orders, details, dimensions(spark, folder), AS_OF, **ORDER_BOUNDS)
+    size = sample.table(spark, folder, "orders")
+    return layers.order_wide(orders, details, dimensions(spark, folder), AS_OF, **ORDER_BOUNDS, sized_by=size)
 
 
 def bare_order_wide(spark: SparkSession, folder: str) -> DataFrame:
     orders, details = sample.order_info(spark, folder), sample.order_detail(spark, folder)
-    return layers.bare_order_wide(orders, details, **ORDER_BOUNDS)
+    return layers.bare_order_wide(orders, details, **ORDER_BOUNDS, sized_by=sample.table(spark, folder, "orders"))
 
 
 def page_columns(pages: DataFrame) -> DataFrame:

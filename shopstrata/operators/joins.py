@@ -99,6 +99,7 @@ def interval_join(
     upper: str,
     spread_by: list[str] | None = None,
     counted_in: DataFrame | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs of equal key whose `big` time lies in [`small` time + lower, `small` time + upper], both ends included.
 
@@ -109,7 +110,7 @@ def interval_join(
     if not big.isStreaming:
         # Hides the times from the not-null filters Spark would add, which work them out a second time for every row.
         inside = F.coalesce(inside, F.lit(False))
-    return balanced_join(big, small, [key], "inner", spread_by, also=inside, counted_in=counted_in)
+    return balanced_join(big, small, [key], "inner", spread_by, inside, sized_by, counted_in)
 
 
 def coalesce_rows(first: DataFrame, other: DataFrame, key: str, columns: list[str]) -> DataFrame:

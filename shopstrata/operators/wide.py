@@ -80,10 +80,11 @@ def join_orders(
     lower: str = "-5 seconds",
     upper: str = "5 seconds",
     counted_in: DataFrame | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Details with their order, where the detail was created within [order + lower, order + upper]."""
     times = ("create_at", "create_at")
-    return interval_join(details, orders, ("order_id", "id"), times, lower, upper, ["id"], counted_in)
+    return interval_join(details, orders, ("order_id", "id"), times, lower, upper, ["id"], counted_in, sized_by)
 
 
 def join_payments(

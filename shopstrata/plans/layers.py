@@ -38,12 +38,13 @@ def order_wide(
     as_of: dt.date | None = None,
     lower: str = "-5 seconds",
     upper: str = "5 seconds",
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Batch form: order lines with their order and all dimensions.
 
     Each side gets its dimensions before the two are joined: an order meets its user and province once instead of once
     a line, and the rows that are shuffled for it are the narrow ones. The dimensions are matched by unique key, so
-    the result is the same.
+    the result is the same. `sized_by` is the table to measure when `orders` is itself the result of joins.
     """
     heads, lines = orders, details
     orders, details = wide.derive_order_time(orders), wide.derive_create_at(details)
@@ -51,16 +52,22 @@ def order_wide(
     orders = dims.with_province(orders, dimensions.provinces, spread_by=["id"], counted_in=heads)
     flat = dimensions.flat_skus()
     details = dims.with_flat_sku(details, flat, spread_by=["id"], sized_by=dimensions.skus, counted_in=lines)
-    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper, counted_in=lines))
+    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper, lines, sized_by))
 
 
 def bare_order_wide(
-    orders: DataFrame, details: DataFrame, lower: str = "-5 seconds", upper: str = "5 seconds", delay: str = "0 seconds"
+    orders: DataFrame,
+    details: DataFrame,
+    lower: str = "-5 seconds",
+    upper: str = "5 seconds",
+    delay: str = "0 seconds",
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Order lines with their order, without dimensions; the form for streams, which are named per micro-batch."""
+    lines = details
     orders = stats.watermarked(wide.derive_order_time(orders), delay, "create_at")
     details = stats.watermarked(wide.derive_create_at(details), delay, "create_at")
-    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper))
+    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper, lines, sized_by))
 
 
 def name_order_wide(bare: DataFrame, dimensions: Dimensions, as_of: dt.date | None = None) -> DataFrame:

@@ -17,13 +17,14 @@ from shopstrata.streaming.routing import RoutingConfig
 
 from .streams import new_dir
 
+# A start record repeats a key; a page record has no new-visitor mark and an empty previous page.
 START = (
-    '{"common":{"ar":"110000","uid":"7","os":"Android 11.0","ch":"xiaomi","is_new":"1","md":"Xiaomi 9","mid":"mid_41",'
-    '"vc":"v1","vc":"v2","ba":"Xiaomi"},"start":{"entry":"icon","loading_time":7815,"open_ad_id":8},"ts":1592175234000}'
+    '{"common":{"ar":"north","uid":"3","ch":"store","is_new":"1","mid":"device-1","vc":"1.0","vc":"1.1"},'
+    '"start":{"entry":"icon","loading_time":1200,"open_ad_id":4},"ts":1704067200000}'
 )
 PAGE = (
-    '{"common":{"ar":"310000","uid":"177","ch":"xiaomi","mid":"mid_8","vc":"v2.1.134"},"page":{"page_id":"good_list",'
-    '"item":"联想","during_time":19041,"item_type":"keyword","last_page_id":""},"ts":1592180030885}'
+    '{"common":{"ar":"south","uid":"9","ch":"web","mid":"device-2","vc":"1.1"},"page":{"page_id":"search",'
+    '"item":"手机","during_time":800,"item_type":"keyword","last_page_id":""},"ts":1704067260885}'
 )
 
 
@@ -33,10 +34,10 @@ def text(spark, *values):
 
 def test_start_and_page_records(spark):
     log = jsonio.parse(text(spark, START, PAGE), APP_LOG)
-    assert [r["vc"] for r in logs.start_rows(log).select("common.vc").collect()] == ["v2"]
+    assert [r["vc"] for r in logs.start_rows(log).select("common.vc").collect()] == ["1.1"]
     pages = logs.page_rows(log)
-    assert logs.entry_pages(pages).select("common.mid", "page.item").collect() == [("mid_8", "联想")]
-    assert stats.searches(pages).select("full_word").collect() == [("联想",)]
+    assert logs.entry_pages(pages).select("common.mid", "page.item").collect() == [("device-2", "手机")]
+    assert stats.searches(pages).select("full_word").collect() == [("手机",)]
 
 
 def test_bad_text_is_dirty_and_good_text_is_not(spark):
@@ -60,12 +61,12 @@ def test_numbers_may_be_texts(spark):
 
 def test_repeated_key_in_a_map_keeps_its_last_value(spark):
     row = topics.page_views(text(spark, START)).select(F.col("common")["vc"], F.map_keys("common")).first()
-    assert row[0] == "v2" and row[1].count("vc") == 1
+    assert row[0] == "1.1" and row[1].count("vc") == 1
     assert jsonio.parse(text(spark, START), PAGE_VIEW).count() == 1
 
 
 def test_change_without_table_is_unroutable(spark):
-    rows = jsonio.parse(text(spark, '{"database":"shop","xid":111,"data":{"id":30,"user_name":"zhangsan","tel":"1"}}'), CDC_ROW)
+    rows = jsonio.parse(text(spark, '{"database":"shop","xid":7,"data":{"id":4,"name":"Ann"}}'), CDC_ROW)
     routing = spark.createDataFrame([("t", "insert", "kafka", "x", "id", None, None)], ROUTING)
     assert changes.route_changes(rows, routing).count() == 0
     assert changes.unrouted_changes(rows, routing).count() == 1
@@ -162,11 +163,11 @@ def test_times(spark):
 
 
 def test_words(spark):
-    phrase = spark.createDataFrame([("Flink实时数仓 v2.1 Été",), (None,), ("",)], "p string")
+    phrase = spark.createDataFrame([("Spark实时数仓 v2.1 Été",), (None,), ("",)], "p string")
     plain = [r[0] for r in words.explode_words(phrase, "p").collect()]
-    assert plain == ["flink", "实", "时", "数", "仓", "v2", "1", "été"]
+    assert plain == ["spark", "实", "时", "数", "仓", "v2", "1", "été"]
     split = words.word_list_splitter(spark, ["实时", "数仓", "时数仓"])
-    assert [r[0] for r in words.explode_words(phrase, "p", split=split).collect()] == ["flink", "实时", "数仓", "v2", "1", "été"]
+    assert [r[0] for r in words.explode_words(phrase, "p", split=split).collect()] == ["spark", "实时", "数仓", "v2", "1", "été"]
 
 
 def test_reports(spark):

@@ -209,7 +209,7 @@ def test_changes_follow_the_configuration(spark):
         {"table": "order_info", "type": "insert", "xid": 2, "data": {"id": 9, "status": "1001"}},
         {"table": "unknown", "type": "insert", "xid": 3, "data": {"id": 9}},
         {"table": "user_info", "type": "insert", "xid": 4, "data": {}},
-        {"database": "shop", "xid": 111, "data": {"id": 30}},
+        {"database": "shop", "xid": 7, "data": {"id": 4}},
     ]
     second = [{"table": "user_info", "type": "bootstrap-insert", "xid": 5, "data": {"id": 1, "name": "Anna"}}]
     write_file(folder, first)
