@@ -28,7 +28,7 @@ HEADLINE = [
     "ads_gmv_day",
     "ads_gmv_trademark",
 ]
-RUNS = 2
+RUNS = 3
 
 
 def main() -> None:
