@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, token_counts, token_files
+from . import chat, decontaminate, packing, quality, secrets, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,17 +25,107 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    weights = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, weights, keep=["doc_id"]).withColumn("held_out", quality.held_out("doc_id"))
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(WORDS_49K), keep=["doc_id"])
 
 
+@query
+def op4_secrets(spark, sf_dir):
+    return secrets.scan(documents(spark, sf_dir), keep=["doc_id"])
+
+
 @query
 def op5_token_files(spark, sf_dir):
     files = token_files.write(documents(spark, sf_dir), public_tokenizers.path(WORDS_49K), end_id=1)
     return token_files.read(files)
 
 
+@query
+def op6_chat(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(more)
+    out = chat.transcripts(chat.as_replies(rows), "conv_id", "node", "parent")
+    turns = chat.read_turns(F.col("formatted"))
+    lines = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = chat.read_loss(F.col("formatted"), F.col("loss_spans"))
+    return out.select(
+        "conv_id", F.size(turns).cast("long").alias("n_turns"), F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def _escaped(column: str) -> str:
+    out = f"replace({column}, '\\', '\\\\')"
+    for control in (chat.OPEN, chat.CLOSE, chat.ROLE, chat.TEXT):
+        out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+    return out
+
+
+_MARKS = len(f"{chat.OPEN}{chat.ROLE}  {chat.TEXT}{chat.CLOSE}")
+ORACLE["op6_chat"] = f"""
+with said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum({_MARKS} + length({_escaped('role')}) + length({_escaped('text')})) as bigint) as formatted_chars
+from said group by conv_id
+"""
+
+
+@query
+def op7_decontamination(spark, sf_dir):
+    found = decontaminate.marked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def _words_sql(pattern: str) -> str:
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"regexp_extract_all(translate(coalesce(text, ''), '{capitals}', '{capitals.lower()}'), '{pattern}')"
+
+
+_LETTERS_SQL = _words_sql(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+ORACLE["op7_decontamination"] = f"""
+with docs as materialized (select doc_id, {_LETTERS_SQL} as w from documents),
+items as (select cast(item_id as varchar) as item_id, {_LETTERS_SQL} as w from benchmark),
+sized as (select item_id, w, least(10, len(w)) as m from items where len(w) > 0),
+patterns as (
+  select distinct item_id, m, array_to_string(w[i : i + m - 1], ' ') as p
+  from (select item_id, w, m, unnest(range(1, len(w) - m + 2)) as i from sized)
+),
+places as (
+  select doc_id, i, m, array_to_string(w[i : i + m - 1], ' ') as p
+  from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as i
+        from docs cross join (select distinct m from sized) as sizes where len(w) >= m)
+),
+hits as materialized (select doc_id, i, m, item_id from places join patterns using (m, p)),
+hit_words as (select doc_id, count(distinct k) as n from (select doc_id, unnest(range(i, i + m)) as k from hits) group by doc_id),
+hit_items as (
+  select doc_id, count(*) as n, string_agg(item_id, ',' order by item_id) as listed
+  from (select distinct doc_id, item_id from hits) group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(hit_words.n, 0) as n_hit, coalesce(hit_items.n, 0) as n_items,
+  sha256(coalesce(listed, '')) as items_sha256, hit_words.n is not null as contaminated
+from docs left join hit_words using (doc_id) left join hit_items using (doc_id)
+"""
+
+
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path(BYTES_50K), end_id=2, capacity=1024)

@@ -50,7 +50,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of consecutive texts: those of text i are first[i] to first[i + 1] - 1."""
 
-    data: np.ndarray  # the lower-cased bytes, a line feed after each text
+    raw: np.ndarray  # the bytes of all texts, a line feed after each
+    data: np.ndarray  # the same with A-Z lower-cased
     begin: np.ndarray
     end: np.ndarray
     hash: np.ndarray
@@ -72,12 +73,15 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def split(texts: pa.Array, inside: np.ndarray) -> Words:
-    """Lower-case A-Z and take the runs of bytes that are `inside` (a line feed never is)."""
-    data, starts = joined(texts)
-    data = _LOWER[data]
+    """Lower-case A-Z and take the runs of bytes that are `inside` (a line feed never is).
+
+    inside: true for each byte of words, or numbers for several kinds of them; a run is of one kind.
+    """
+    raw, starts = joined(texts)
+    data = _LOWER[raw]
     found = [_piece(data, a, b, inside) for a, b in _pieces(data, inside)]
     begin, end, hashes = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U))
-    return Words(data, begin, end, hashes, np.searchsorted(begin, starts))
+    return Words(raw, data, begin, end, hashes, np.searchsorted(begin, starts))
 
 
 def _pieces(data: np.ndarray, inside: np.ndarray):
@@ -86,7 +90,7 @@ def _pieces(data: np.ndarray, inside: np.ndarray):
     while at < n:
         to = min(n, at + _PIECE)
         while to < n:
-            gaps = np.flatnonzero(~inside[data[to - 1 : to + _PIECE]])
+            gaps = np.flatnonzero(inside[data[to - 1 : to + _PIECE]] == 0)
             if len(gaps):
                 to += int(gaps[0])
                 break
@@ -97,10 +101,11 @@ def _pieces(data: np.ndarray, inside: np.ndarray):
 
 def _piece(data: np.ndarray, a: int, b: int, inside: np.ndarray):
     part = data[a:b]
-    mask = np.zeros(len(part) + 2, bool)
-    mask[1:-1] = inside[part]
-    edges = np.flatnonzero(mask[1:] != mask[:-1])
-    begin, end = edges[::2], edges[1::2]
+    kind = np.zeros(len(part) + 2, inside.dtype)
+    kind[1:-1] = inside[part]
+    edges = np.flatnonzero(kind[1:] != kind[:-1])
+    full = np.flatnonzero(kind[edges + 1] != 0)
+    begin, end = edges[full], edges[full + 1]
     size = 1 << max(16, int(len(part)).bit_length())
     up, down = _powers(size) if size <= 4 * _PIECE else _powers.__wrapped__(size)
     with np.errstate(over="ignore"):
