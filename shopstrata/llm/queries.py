@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, packing, quality, secrets, token_counts, token_files
+from . import chat, decontaminate, minhash, packing, quality, secrets, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,6 +126,38 @@ from docs left join hit_words using (doc_id) left join hit_items using (doc_id)
 """
 
 
+CONTRACT = minhash.Likeness(size=3, above=85, below=100)
+
+
+@query
+def op8_minhash(spark, sf_dir):
+    return minhash.near_duplicates(documents(spark, sf_dir), CONTRACT)
+
+
+_VISIBLE_SQL = _words_sql(r"[^\x20\x09-\x0D]+")
+ORACLE["op8_minhash"] = f"""
+with recursive docs as materialized (select doc_id, {_VISIBLE_SQL} as w from documents),
+shingles as materialized (
+  select distinct doc_id, array_to_string(w[i : i + 2], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) as i from docs where len(w) > 0)
+),
+sizes as materialized (select doc_id, count(*) as n from shingles group by doc_id),
+links as materialized (
+  select a, b from (
+    select x.doc_id as a, y.doc_id as b, count(*) as shared from shingles x join shingles y using (s)
+    where x.doc_id != y.doc_id group by 1, 2
+  ) join sizes m on m.doc_id = a join sizes n on n.doc_id = b
+  where 100 * shared >= 85 * (m.n + n.n - shared)
+),
+reached(doc_id, other) as (
+  select doc_id, doc_id from docs
+  union select r.doc_id, l.b from reached r join links l on l.a = r.other
+)
+select doc_id, cast(coalesce(any_value(n), 0) as bigint) as n_shingles, min(other) as component_id, doc_id = min(other) as kept
+from reached left join sizes using (doc_id) group by doc_id
+"""
+
+
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path(BYTES_50K), end_id=2, capacity=1024)
