@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, minhash, packing, quality, secrets, token_counts, token_files
+from . import chat, decontaminate, embeddings, licenses, minhash, packing, quality, secrets, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,31 @@ def op2_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(WORDS_49K), keep=["doc_id"])
 
 
+@query
+def op3_embeddings(spark, sf_dir):
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.93)
+
+
+_FINITE = "len(list_filter(e, x -> x is null or not isfinite(x))) = 0 and len(list_filter(e, x -> x != 0)) > 0"
+ORACLE["op3_embeddings"] = f"""
+with recursive vectors as materialized (
+  select vec_id, label, e, sqrt(list_sum(list_transform(e, x -> x * x))) as size
+  from (select vec_id, label, cast(embedding as double[]) as e from embeddings)
+  where label is not null and e is not null and {_FINITE}
+),
+links as materialized (
+  select x.vec_id as a, y.vec_id as b from vectors x join vectors y on x.label = y.label and x.vec_id != y.vec_id
+  where len(x.e) = len(y.e) and list_dot_product(x.e, y.e) / (x.size * y.size) >= 0.93
+),
+reached(vec_id, other) as (
+  select vec_id, vec_id from embeddings
+  union select r.vec_id, l.b from reached r join links l on l.a = r.other
+)
+select vec_id, coalesce(any_value(n), 0) as n_links, min(other) as component_id, vec_id = min(other) as kept
+from reached left join (select a as vec_id, count(*) as n from links group by a) using (vec_id) group by vec_id
+"""
+
+
 @query
 def op4_secrets(spark, sf_dir):
     return secrets.scan(documents(spark, sf_dir), keep=["doc_id"])
@@ -158,6 +183,16 @@ from reached left join sizes using (doc_id) group by doc_id
 """
 
 
+@query
+def op9_licenses(spark, sf_dir):
+    found = licenses.scan(documents(spark, sf_dir), keep=["doc_id"])
+    part = lambda m: F.concat_ws(":", m["license"], m["begin"], m["end"], F.format_number(m["coverage"], 3))
+    return found.select(
+        "doc_id", "n_licenses", F.array_join("licenses", ",").alias("licenses"),
+        F.array_join(F.transform("matches", part), ",").alias("spans"),
+    )
+
+
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path(BYTES_50K), end_id=2, capacity=1024)

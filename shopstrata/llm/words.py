@@ -56,6 +56,7 @@ class Words:
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray
+    starts: np.ndarray  # where each text's bytes begin, and the length of all
 
     @property
     def counts(self) -> np.ndarray:
@@ -81,7 +82,7 @@ def split(texts: pa.Array, inside: np.ndarray) -> Words:
     data = _LOWER[raw]
     found = [_piece(data, a, b, inside) for a, b in _pieces(data, inside)]
     begin, end, hashes = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U))
-    return Words(raw, data, begin, end, hashes, np.searchsorted(begin, starts))
+    return Words(raw, data, begin, end, hashes, np.searchsorted(begin, starts), starts)
 
 
 def _pieces(data: np.ndarray, inside: np.ndarray):
