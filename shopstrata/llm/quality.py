@@ -40,7 +40,9 @@ def _shapes(words: Words) -> np.ndarray:
     upper, digits = count(_UPPER), count(_DIGIT)
     first = _UPPER[words.raw[words.begin]]
     shape = np.select([digits * 2 > size, upper == 0, first & (upper == 1), upper * 2 >= size], [4, 0, 1, 2], 3)
-    shape[1:][words.hash[1:] == words.hash[:-1]] = 5
+    again = np.concatenate([[False], words.hash[1:] == words.hash[:-1]])
+    again[words.first[:-1][words.counts > 0]] = False
+    shape[again] = 5
     return np.where((KINDS[words.raw[words.begin]] == 2) & (shape != 5), words.hash, _SHAPES[shape])
 
 
@@ -66,8 +68,10 @@ def dot(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     """Sparse dot products of the texts' features with the weights; the last weight is the bias."""
     total = np.full(len(texts), weights[-1])
     for bucket, first in features(texts):
-        sums = np.concatenate([[0.0], np.cumsum(weights[bucket])])[first]
-        total += np.diff(sums) / np.maximum(np.diff(first), 1)
+        # Each text is summed by itself, so its score doesn't depend on its neighbours.
+        have = np.diff(first)
+        owner = np.repeat(np.arange(len(have)), have)
+        total += np.bincount(owner, weights=weights[bucket], minlength=len(have)) / np.maximum(have, 1)
     return total
 
 
@@ -114,7 +118,7 @@ def _train(rows: pd.DataFrame) -> pd.DataFrame:
     for _ in range(EPOCHS):
         for (at, x), label in zip(vectors, rows["label"]):
             leader.learn(at, x, int(label), weight[int(label)])
-    return pd.DataFrame({"weights": [leader.weights().astype("<f8").tobytes()], "n": [len(rows)]})
+    return pd.DataFrame({"shard": rows["shard"].iloc[:1].to_numpy(), "weights": [leader.weights().astype("<f8").tobytes()], "n": [len(rows)]})
 
 
 def held_out(doc_id) -> F.Column:
@@ -147,7 +151,8 @@ def fit(
         .join(chosen, "doc_id")
         .select(F.pmod("rank", F.lit(SHARDS)).alias("shard"), "rank", "label", "text")
     )
-    found = rows.groupBy("shard").applyInPandas(_train, "weights binary, n long").collect()
+    found = rows.groupBy("shard").applyInPandas(_train, "shard long, weights binary, n long").collect()
+    found.sort(key=lambda r: r["shard"])
     total = sum(r["n"] for r in found)
     return sum((np.frombuffer(r["weights"], "<f8") * (r["n"] / total) for r in found), np.zeros(SIZE + 1))
 

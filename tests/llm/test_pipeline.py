@@ -1,0 +1,118 @@
+"""Every stage of the pipeline against a brute-force version, on its own input."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as driver
+import corpus_pipeline as pipeline
+from shopstrata.llm import minhash, quality
+from tests.llm.test_pairs import classes, shingles
+from tests.llm.test_texts import base, brute_hits
+
+FOLDER = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The input (extra rows and a clashing column included) and the output of each stage."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    bench = spark.read.parquet(f"{FOLDER}/benchmark.parquet").first().text
+    odd = [(90_001, None), (90_002, ""), (None, "Some words without an id."), (None, None), (90_003, "short"), (90_004, "short"), (90_005, f"Before. {bench} After."), (90_006, 'It is: pwd="v8$ kQ!z9Lm2#x" here.')]
+    odd += [(90_007, "A repeated row of some words that stands here twice.")] * 2
+    more = spark.createDataFrame([(i, t, "en", "x", None if t is None else len(t)) for i, t in odd], docs.schema)
+    docs = docs.unionByName(more).withColumn("score", docs.doc_id * 2).withColumn("spans", docs.lang)
+    tables = [docs]
+    for _, stage in pipeline.STAGES:
+        tables.append(pipeline.table(stage(spark, tables[-1], FOLDER), "test-stage"))
+    return tables
+
+
+def rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def test_columns_stay(stages):
+    for df in stages[1:5]:
+        assert df.columns == [*COLUMNS, "score", "spans"]
+
+
+def test_quality(spark, stages):
+    weights = quality.fit(stages[0], spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    before = rows(stages[0])
+    kept = [r for r in before if quality.dot(pa.array([r["text"] or ""]), weights)[0] >= 0]
+    assert sorted(map(str, kept)) == sorted(map(str, rows(stages[1])))
+    marked = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    left = {r["doc_id"] for r in kept}
+    lost = [r for r in before if marked.get(r["doc_id"]) == 1 and r["doc_id"] not in left]
+    assert len(lost) <= 0.03 * sum(marked.values())
+
+
+def test_near_duplicates(stages):
+    before = [r for r in rows(stages[1]) if r["doc_id"] is not None]
+    before.sort(key=lambda r: r["doc_id"])
+    sets = [shingles(r["text"], 5) for r in before]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    want = {r["doc_id"] for i, r in enumerate(before) if classes(len(sets), links)[i] == i or before[classes(len(sets), links)[i]]["doc_id"] == r["doc_id"]}
+    after = rows(stages[2])
+    assert sorted(r["doc_id"] for r in after if r["doc_id"] is not None) == sorted(want)
+    assert sum(r["doc_id"] is None for r in after) == sum(r["doc_id"] is None for r in rows(stages[1]))
+    assert minhash.Likeness() == minhash.Likeness(5, 4, 5)
+
+
+def test_decontamination(spark, stages):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    want = [r for r in rows(stages[2]) if not brute_hits(r["text"], items, 10)[1]]
+    assert sorted(map(str, want)) == sorted(map(str, rows(stages[3])))
+    assert 90_005 in {r["doc_id"] for r in rows(stages[2])} - {r["doc_id"] for r in want}
+
+
+def test_secrets(stages):
+    before, after = ({str(r["doc_id"]) + str(r["score"]): r for r in rows(x) if r["doc_id"] is not None} for x in stages[3:5])
+    assert set(before) == set(after) and stages[3].count() == stages[4].count()
+    for k, r in after.items():
+        assert not base(r["text"] or "")
+        if r["text"] == before[k]["text"]:
+            assert r == before[k]
+        else:
+            assert "[SECRET]" in r["text"] and r["n_chars"] == len(r["text"])
+        if base(before[k]["text"] or ""):
+            assert r["text"] != before[k]["text"]
+    assert next(r["text"] for r in after.values() if r["doc_id"] == 90_006) == 'It is: pwd="[SECRET]" here.'
+
+
+def test_packing(stages):
+    library = Tokenizer.from_file(public_tokenizers.path(pipeline.VOCABULARY))
+    whole = {r["doc_id"]: [*library.encode(r["text"] or "", add_special_tokens=False).ids, 2] for r in rows(stages[4]) if r["doc_id"] is not None}
+    bins, total = defaultdict(list), 0
+    for r in stages[5].collect():
+        if r.doc_id is not None:
+            ids = whole[r.doc_id][r.start : r.start + r.length]
+            assert len(ids) == r.length and zlib.crc32(np.array(ids, "<u4").tobytes()) == r.ids_crc32
+            total += r.length
+        bins[r.sequence_id].append((r.offset, r.length))
+    assert total == sum(map(len, whole.values()))
+    for pieces in bins.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 1024
+
+
+def test_registered_and_whole(spark):
+    assert driver.queries()["pipeline"] is pipeline.run
+    assert pipeline.run(spark, FOLDER).count() > 100
+
+
+def test_empty_tables(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
+    for _, stage in pipeline.STAGES:
+        docs = pipeline.table(stage(spark, docs, FOLDER), "test-stage")
+    assert docs.count() == 0

@@ -5,6 +5,8 @@ import random
 import re
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +83,13 @@ def test_quality_learns_and_holds_out(spark):
     assert quality.score(docs.limit(0), weights).count() == 0
 
 
+def test_scores_do_not_depend_on_neighbours():
+    weights = np.random.default_rng(1).standard_normal(quality.SIZE + 1)
+    texts = ["short", "short", "", "a a a", "a", "a b", "b!! !! x", "short"]
+    whole = quality.dot(pa.array(texts), weights)
+    assert whole.tolist() == [quality.dot(pa.array([t]), weights)[0] for t in texts]
+
+
 def test_quality_on_held_out_samples(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{x}.parquet") for x in ("documents", "labels"))
