@@ -408,6 +408,8 @@ _add("win_tumbling", "", f"""
     select {_window("epoch_us(ts) // 1000", 10)}, event_type, count(*) as ct from events group by all""")
 ORACLE["wm_monotonic"] = ORACLE["join_interval_payment_order"]
 ORACLE["wm_bounded"] = ORACLE["win_tumbling"]
+ORACLE |= {f"{n}_shuffled": ORACLE[n] for n in ("dwm_order_wide", "dwm_payment_wide", "join_dim_user", "join_dim_sku")}
+ORACLE |= {"stream_visitor": ORACLE["dws_visitor"], "stream_product": ORACLE["dws_product"]}
 _add("state_new_visitor", "fixed", f"select {_PAGE} from fixed")
 _add("state_unique_visit", "uv", f"select {_PAGE} from uv")
 _add("state_unique_visit_zone", "raw_pages", f"""

@@ -8,14 +8,16 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..constants import SINK_DIM, SINK_STREAM
+from ..constants import PRODUCT_TABLE, SINK_DIM, SINK_STREAM
 from ..functions import jsonio, times, words
 from ..operators import changes, dims, joins, logs, reports, stats, visits, wide
 from ..plans import layers
-from ..schemas import APP_LOG, ORDER_INFO, PROVINCE_STATS
-from ..session import shared_dir, stage
+from ..schemas import APP_LOG, ORDER_INFO, PRODUCT_STATS, PROVINCE_STATS
+from ..session import shared_dir
 from ..sources import jdbc, sample, topics
-from ..streaming import sinks
+from ..sources.dimstore import DimStore
+from ..streaming import jobs, sinks
+from ..streaming.routing import RoutingConfig
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,18 +145,29 @@ def sink_dim_upsert(spark, folder):
         F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
     )
     orders = sample.table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("xid"),
-        F.create_map(
-            F.lit("id"), F.col("o_custkey").cast("string"), F.lit("segment"), F.col("o_orderpriority")
-        ).alias("data"),
-    )
-    return dims.upsert(current, dims.dim_rows(orders, columns), columns)
+        F.col("o_orderkey").alias("xid"), F.col("o_custkey").cast("string").alias("id"), F.col("o_orderpriority").alias("segment")
+    )
+
+    def changes_of(rows: DataFrame, xid, names: list[str]) -> DataFrame:
+        data = F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))])
+        return rows.select(F.lit("customer").alias("sink_table"), F.lit("id").alias("sink_pk"), data.alias("data"), xid.alias("xid"))
+
+    # Written, folded and written again; a later batch may carry an earlier version.
+    store = DimStore(spark, f"{shared_dir(spark)}/dims-{uuid.uuid4().hex}")
+    later = F.col("xid") % 3 == 0
+    store.write(changes_of(current, F.lit(-1), columns), 0)
+    store.write(changes_of(orders.where(later), F.col("xid"), ["id", "segment"]), 1)
+    store.fold()
+    store.write(changes_of(orders.where(~later), F.col("xid"), ["id", "segment"]), 2)
+    return store.read("customer", columns)
 
 
 @query
 def dim_table_create(spark, folder):
     routed = changes.route_changes(sample.cdc_rows(spark, folder), sample.routing(spark))
-    return dims.dim_rows(changes.dim_changes(routed), ["id", "name"]).select("id", "name")
+    store = DimStore(spark, f"{shared_dir(spark)}/dims-{uuid.uuid4().hex}")
+    store.write(changes.dim_changes(routed), 0)
+    return store.read("dim_user_info", ["id", "name"])
 
 
 @query
@@ -248,8 +261,7 @@ def coalesce_order_wide(spark, folder):
 
 @query
 def merge_payment_wide(spark, folder):
-    orders = stage(bare_order_wide(spark, folder), "bare_order_wide")
-    rows = layers.payment_wide(sample.payment_info(spark, folder), orders)
+    rows = layers.payment_wide(sample.payment_info(spark, folder), bare_order_wide(spark, folder))
     return rows.select(
         "payment_id", "order_id", "detail_id", "sku_id", "user_id", "subject", "payment_type", "payment_create_time",
         "order_create_time", "callback_time", number("total_amount"), number("split_total_amount"),
@@ -328,7 +340,10 @@ def config_refresh(spark, folder):
             ("user_info", "delete", SINK_DIM, "dim_user_gone", "id", "id", None),
         ],
     )
-    return _routed(changes.route_changes(sample.cdc_rows(spark, folder), changes.merge_routing(sample.routing(spark), fresh)))
+    versions = iter([sample.routing(spark), fresh])
+    config = RoutingConfig(lambda: next(versions), every=0.0)
+    config.current(spark)
+    return _routed(changes.route_changes(sample.cdc_rows(spark, folder), config.current(spark)))
 
 
 # Joins
@@ -413,26 +428,43 @@ def dwm_order_wide(spark, folder):
     )
 
 
+def _shuffled(make: Query) -> Query:
+    """The query with plans for tables that are too large to broadcast."""
+
+    def run(spark, folder):
+        with joins.shuffled():
+            return make(spark, folder)
+
+    run.__name__ = f"{make.__name__}_shuffled"
+    return query(run)
+
+
 @query
 def dwm_payment_wide(spark, folder):
-    orders = stage(order_wide_of(spark, folder), "order_wide")
-    rows = layers.payment_wide(sample.payment_info(spark, folder), orders)
+    rows = layers.payment_wide(sample.payment_info(spark, folder), order_wide_of(spark, folder))
     return rows.select(
         "payment_id", "order_id", "detail_id", "sku_id", "sku_name", "payment_create_time", "province_name",
         "user_age", "tm_name", number("split_total_amount"),
     )
 
 
+dwm_order_wide_shuffled = _shuffled(dwm_order_wide)
+dwm_payment_wide_shuffled = _shuffled(dwm_payment_wide)
+join_dim_user_shuffled = _shuffled(join_dim_user)
+join_dim_sku_shuffled = _shuffled(join_dim_sku)
+
+
 # Aggregations
 
 
 @query
 def dws_visitor(spark, folder):
-    return layers.visitor_stats(stage(pages_of(spark, folder), "pages"), jump_timeout=JUMP_TIMEOUT)
+    return layers.visitor_stats(pages_of(spark, folder), jump_timeout=JUMP_TIMEOUT)
 
 
 def _product_rows(spark, folder) -> DataFrame:
-    orders = stage(order_wide_of(spark, folder), "order_wide")
+    """Statistics are named after they are summed, so orders without dimensions do."""
+    orders = bare_order_wide(spark, folder)
     return layers.product_rows(
         raw_pages(spark, folder),
         sample.favor_info(spark, folder),
@@ -462,7 +494,7 @@ def agg_distinct_orders(spark, folder):
         F.when(F.col("l_linestatus") == "F", F.col("l_orderkey")).alias("paid_order_id"),
         F.when(F.col("l_returnflag") == "R", F.col("l_orderkey")).alias("refund_order_id"),
     )
-    return stats.distinct_orders(lines, ["sku_id"], stats.PRODUCT_ORDERS)
+    return stats.distinct_orders(lines, ["sku_id"], ["sku_id"])
 
 
 @query
@@ -475,8 +507,18 @@ def dws_keyword(spark, folder):
     return stats.keyword_stats(stats.searches(raw_pages(spark, folder)))
 
 
+_SERVED: dict[tuple[str, str], str] = {}
+
+
 def _order_stats(spark, folder) -> DataFrame:
-    return layers.product_stats(stats.ordered(order_wide_of(spark, folder)), dimensions(spark, folder))
+    """The product statistics as they are served, by day; written once for all reports of a session."""
+    key = spark.sparkContext.applicationId, folder
+    if key not in _SERVED:
+        root = f"{shared_dir(spark)}/serving-{uuid.uuid4().hex}"
+        rows = layers.product_stats(stats.ordered(bare_order_wide(spark, folder)), dimensions(spark, folder))
+        sinks.serving_folder(root)(PRODUCT_TABLE, PRODUCT_STATS)(rows, 0)
+        _SERVED[key] = f"{root}/{PRODUCT_TABLE}"
+    return spark.read.parquet(_SERVED[key])
 
 
 @query
@@ -556,7 +598,7 @@ def prod_order(spark, folder):
 
 @query
 def prod_payment(spark, folder):
-    orders = stage(bare_order_wide(spark, folder), "bare_order_wide")
+    orders = bare_order_wide(spark, folder)
     return product_columns(stats.paid(layers.payment_wide(sample.payment_info(spark, folder), orders)))
 
 
@@ -580,9 +622,7 @@ def union_product(spark, folder):
 
 @query
 def win_tumbling(spark, folder):
-    events = sample.table(spark, folder, "events")
-    counted = events.groupBy(F.window("ts", "10 seconds").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("ct"))
-    return counted.select(*times.window_bounds(F.col("w")), "event_type", "ct")
+    return stats.counted(sample.table(spark, folder, "events"), "10 seconds", "event_type")
 
 
 @query
@@ -644,10 +684,47 @@ def wm_monotonic(spark, folder):
 def wm_bounded(spark, folder):
     """Counts by window of a stream, updated batch by batch; the last update of a window counts."""
     events = stats.watermarked(sample.table(spark, folder, "events", stream=True), "1 second")
-    counted = events.groupBy(F.window("ts", "10 seconds").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("ct"))
-    rows = counted.select(*times.window_bounds(F.col("w")), "event_type", "ct")
-    updates = _drained(rows, "wm_bounded", "update")
-    return updates.groupBy("stt", "edt", "event_type").agg(F.max_by("ct", "batch").alias("ct"))
+    updates = _drained(stats.counted(events, "10 seconds", "event_type"), "wm_bounded", "update")
+    number = F.substring_index("batch", "-", -1).cast("int")
+    return updates.groupBy("stt", "edt", "event_type").agg(F.max_by("ct", number).alias("ct"))
+
+
+_FAR_MS, _FAR = 4_102_444_800_000, "2100-01-01 00:00:00"
+
+
+def _as_stream(rows: DataFrame, **closing) -> DataFrame:
+    """The rows as a topic of JSON texts, a file at a time, and at its end rows that close all windows."""
+    spark = rows.sparkSession
+    path = f"{shared_dir(spark)}/topics-{uuid.uuid4().hex}"
+    jsonio.to_value(rows).coalesce(2).write.text(path)
+    names = {"ts": F.lit(_FAR_MS), "page": F.struct(F.lit("good_detail").alias("page_id"), F.lit("-1").alias("item"))} if not closing else {k: F.lit(v) for k, v in closing.items()}
+    for _ in range(2):
+        end = spark.range(1).select(*[c.alias(n) for n, c in names.items()])
+        jsonio.to_value(end).write.mode("append").text(path)
+    return topics.read_text_folder(spark, path, 1)
+
+
+@query
+def stream_visitor(spark, folder):
+    """The visitor job on three topics."""
+    pages = pages_of(spark, folder)
+    inputs = [pages, visits.unique_visits(pages), visits.user_jumps(pages, JUMP_TIMEOUT)]
+    rows = jobs.visitor_stats(*map(_as_stream, inputs), JUMP_TIMEOUT)
+    return _drained(rows, "stream_visitor").drop("batch").where("stt < '2100'")
+
+
+@query
+def stream_product(spark, folder):
+    """The product job on seven topics, named at the end."""
+    orders = bare_order_wide(spark, folder)
+    paid = layers.payment_wide(sample.payment_info(spark, folder), orders).drop("payment_create_at")
+    tables = [sample.favor_info, sample.cart_info, sample.refund_info, sample.comment_info]
+    favors, carts, refunds, comments = (_as_stream(t(spark, folder), sku_id=-1, create_time=_FAR) for t in tables)
+    wide_lines = _as_stream(orders.drop("create_at"), sku_id=-1, create_time=_FAR)
+    paid_lines = _as_stream(paid, sku_id=-1, payment_create_time=_FAR)
+    rows = jobs.product_stats(_as_stream(raw_pages(spark, folder)), favors, carts, wide_lines, paid_lines, refunds, comments)
+    found = _drained(rows, "stream_product").drop("batch").where("stt < '2100'")
+    return _amounts(layers.name_products(found, dimensions(spark, folder)), *stats.PRODUCT_AMOUNTS, "sku_price")
 
 
 # Scalar and table functions

@@ -7,6 +7,8 @@ DWD_PAGE = "dwd_page_log"
 DWD_START = "dwd_start_log"
 DWD_DISPLAY = "dwd_display_log"
 DWD_DEFAULT = "dwd_default_topic"
+# Own name: page records that could not be read.
+DWD_DIRTY = "dwd_dirty_page_log"
 DWD_ORDER_INFO = "dwd_order_info"
 DWD_ORDER_DETAIL = "dwd_order_detail"
 DWD_PAYMENT_INFO = "dwd_payment_info"
@@ -23,58 +25,15 @@ DWM_PAYMENT_WIDE = "dwm_payment_wide"
 SINK_STREAM = "kafka"
 SINK_DIM = "hbase"
 
-# Status codes carried by the shop's tables.
-STATUS_CODES = {
-    "1001": "order unpaid",
-    "1002": "order paid",
-    "1003": "order cancelled",
-    "1004": "order finished",
-    "1005": "order refunding",
-    "1006": "order refunded",
-    "1101": "pay by Alipay",
-    "1102": "pay by WeChat",
-    "1103": "pay by UnionPay",
-    "1201": "bad review",
-    "1202": "neutral review",
-    "1203": "good review",
-    "1204": "automatic review",
-    "1301": "refund: bad goods",
-    "1302": "refund: wrong description",
-    "1303": "refund: out of stock",
-    "1304": "refund: wrong size",
-    "1305": "refund: ordered by mistake",
-    "1306": "refund: no reason",
-    "1307": "refund: other",
-    "1401": "coupon unused",
-    "1402": "coupon in use",
-    "1403": "coupon used",
-    "1501": "refund money only",
-    "1502": "refund with return",
-    "2401": "source: search",
-    "2402": "source: promotion",
-    "2403": "source: recommendation",
-    "2404": "source: campaign",
-    "3101": "campaign: amount off",
-    "3102": "campaign: quantity discount",
-    "3103": "campaign: discount",
-    "3201": "coupon: amount off",
-    "3202": "coupon: quantity discount",
-    "3203": "coupon: voucher",
-    "3301": "coupon for category",
-    "3302": "coupon for trademark",
-    "3303": "coupon for product family",
-}
+# Fixed value: the code of a good review.
 REVIEW_GOOD = "1203"
 
 # What a page row must say to count as a product click or a search.
 PAGE_PRODUCT_DETAIL = "good_detail"
 ITEM_KEYWORD = "keyword"
 
-# Origins of a keyword.
+# Fixed value: the origin of a searched keyword.
 KEYWORD_SEARCH = "SEARCH"
-KEYWORD_CLICK = "CLICK"
-KEYWORD_CART = "CART"
-KEYWORD_ORDER = "ORDER"
 
 # Text form of an event time and of a report day.
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss"

@@ -58,13 +58,10 @@ def routing_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(table)
 
 
-def merge_routing(old: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Routing rows after a reload: fresh rows are added or replace theirs, rows no longer listed stay."""
-    keys = [k for _, k in _ROUTE_KEYS]
-    rest = [c for c in old.columns if c not in keys]
-    aged = old.withColumn("_age", F.lit(1)).unionByName(fresh.withColumn("_age", F.lit(0)))
-    newest = aged.groupBy(*keys).agg(F.min_by(F.struct(*rest), "_age").alias("_row"))
-    return newest.select(*keys, "_row.*").select(*old.columns)
+def merged_routing(known: dict[tuple, tuple], fresh: list[tuple]) -> dict[tuple, tuple]:
+    """Routing rows by table and operation after a reload: fresh rows are added or replace theirs, others stay."""
+    at = [ROUTING.names.index(k) for _, k in _ROUTE_KEYS]
+    return known | {tuple(row[i] for i in at): tuple(row) for row in fresh}
 
 
 def route_changes(cdc: DataFrame, routing: DataFrame) -> DataFrame:

@@ -9,34 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.times import years_between
 from .joins import balanced_join
 
-_ABSENT_VERSION = -1
-
-
-def dim_rows(changes: DataFrame, columns: list[str], pk: str = "id", version: str = "xid") -> DataFrame:
-    """Changes of one dimension as text columns, with `_set` naming the columns each change carries."""
-    return changes.where(F.col("data")[pk].isNotNull()).select(
-        *[F.col("data")[c].alias(c) for c in columns],
-        F.map_keys("data").alias("_set"),
-        F.col(version).alias("_version"),
-    )
-
-
-def upsert(current: DataFrame, rows: DataFrame, columns: list[str], pk: str = "id") -> DataFrame:
-    """Apply `rows` (see `dim_rows`) to a dimension: per key and column the latest change that carries it wins.
-
-    One aggregation with map-side combine, so a key changed a million times is reduced before the shuffle.
-    """
-    others = [c for c in columns if c != pk]
-    base = current.select(
-        *columns, F.array(*[F.lit(c) for c in columns]).alias("_set"), F.lit(_ABSENT_VERSION).cast("long").alias("_version")
-    )
-    latest = [
-        F.max_by(F.col(c), F.when(F.array_contains("_set", c), F.col("_version"))).alias(c) for c in others
-    ]
-    merged = base.unionByName(rows.select(*columns, "_set", "_version")).groupBy(pk).agg(*latest)
-    return merged.select(*columns)
-
-
 def lookup(requests: DataFrame, dim: DataFrame, on: dict[str, str], columns: list[str]) -> DataFrame:
     """Requests with the matching dimension rows, by equality of one or more columns (`request column: dim column`)."""
     if not on:
@@ -66,7 +38,7 @@ def enrich(
         F.col(dim_key).cast(key_type).alias("_key"),
         *[(F.col(e) if isinstance(e, str) else e).alias(f"_new_{n}") for n, e in columns.items()],
     )
-    joined = balanced_join(facts, small, [(key, "_key")], "left", spread_by, None, sized_by or dim, counted_in)
+    joined = balanced_join(facts, small, [(key, "_key")], "left", spread_by, None, sized_by, counted_in)
     hit = F.col("s._key").isNotNull()
 
     def value(name: str) -> Column:

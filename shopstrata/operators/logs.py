@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import DWD_DISPLAY, DWD_PAGE, DWD_START
@@ -10,6 +12,12 @@ _NEW = "1"
 _KNOWN = "0"
 
 
+def time_order(ts: str, id_col: str) -> Column:
+    """Time and id as one number, in that order: a fixed-width value that hash aggregates can hold."""
+    number = F.col(ts).cast("decimal(17,0)") * F.lit(Decimal(10**20))
+    return (number + F.col(id_col).cast("decimal(20,0)") + F.lit(Decimal(1 << 63))).cast("decimal(38,0)")
+
+
 def is_entry() -> Column:
     """The page was not reached from another page."""
     return F.coalesce(F.col("page.last_page_id"), F.lit("")) == ""
@@ -22,27 +30,17 @@ def entry_pages(pages: DataFrame) -> DataFrame:
 def repair_is_new(log: DataFrame, id_col: str = "log_id") -> DataFrame:
     """Keep a device's first `is_new = '1'` by time and turn its later ones into '0'.
 
-    The first row per device is a small aggregate. It is joined back on the row's full identity rather than on the
-    device, so a device with a third of the log is spread like any other. Rows without a device are left alone.
-    `id_col` must be unique; it orders rows of the same millisecond.
+    The first row per device is a small hash aggregate. Marked rows are joined with it on the row's full identity rather
+    than on the device, so a device with a third of the log is spread like any other. All other rows, also those
+    without a device, pass beside the join. `id_col` must be unique; it orders rows of the same millisecond.
     """
-    row_id = F.struct("ts", F.col(id_col).alias("id"))
-    firsts = (
-        log.where(F.col("common.is_new") == _NEW)
-        .groupBy(F.col("common.mid").alias("mid"))
-        .agg(F.min(row_id).alias("first"))
-        .select("mid", F.col("first.ts").alias("ts"), F.col("first.id").alias("id"))
-    )
-    l, f = log.alias("l"), firsts.alias("f")
-    same = (
-        (F.col("l.common.mid") == F.col("f.mid"))
-        & (F.col("l.ts") == F.col("f.ts"))
-        & (F.col(f"l.{id_col}") == F.col("f.id"))
-    )
-    repeat = (F.col("l.common.is_new") == _NEW) & F.col("l.common.mid").isNotNull() & F.col("f.mid").isNull()
-    is_new = F.when(repeat, _KNOWN).otherwise(F.col("l.common.is_new"))
-    common = F.col("l.common").withField("is_new", is_new).alias("common")
-    return l.join(f, same, "left").select(*[common if c == "common" else F.col(f"l.{c}") for c in log.columns])
+    marked = F.coalesce(F.col("common.is_new") == _NEW, F.lit(False)) & F.col("common.mid").isNotNull()
+    rows = log.where(marked).select("*", F.col("common.mid").alias("_mid"), time_order("ts", id_col).alias("_order"))
+    firsts = rows.groupBy("_mid").agg(F.min("_order").alias("_order")).withColumn("_first", F.lit(True))
+    is_new = F.when(F.col("_first"), _NEW).otherwise(_KNOWN)
+    common = F.col("common").withField("is_new", is_new).alias("common")
+    fixed = rows.join(firsts, ["_mid", "_order"], "left").select(*[common if c == "common" else c for c in log.columns])
+    return log.where(~marked).unionByName(fixed)
 
 
 def start_rows(log: DataFrame) -> DataFrame:

@@ -20,6 +20,10 @@ PRODUCT_AMOUNTS = ["order_amount", "payment_amount", "refund_amount"]
 PRODUCT_ORDERS = {"order_ct": "order_id", "paid_order_ct": "paid_order_id", "refund_order_ct": "refund_order_id"}
 PROVINCE = ["province_id", "province_name", "province_area_code", "province_iso_code", "province_3166_2_code"]
 
+# How far rows of one topic may be out of order: its partitions and the micro-batches of the job that writes it, whose
+# trigger is ten seconds. Kept apart from how far one topic is behind another, which each one's own watermark covers.
+LATENESS = "30 seconds"
+
 
 def watermarked(df: DataFrame, delay: str, column: str = "ts") -> DataFrame:
     """Bound the lateness of a stream; a batch has none."""
@@ -54,17 +58,22 @@ def jumps_counted(jumps: DataFrame) -> DataFrame:
     return _visitor_rows(jumps, uj_ct=F.lit(1))
 
 
-def visitor_union(pages: DataFrame, visits: DataFrame, jumps: DataFrame) -> DataFrame:
-    """Measures of the page log, the unique visits and the jumps. Views and session starts share one pass."""
+def visitor_union(pages: DataFrame, visits: DataFrame, jumps: DataFrame, delay: str = LATENESS) -> DataFrame:
+    """Measures of the page log, the unique visits and the jumps. Views and session starts share one pass.
+
+    Each stream has a watermark of its own, and the slowest one holds: jumps arrive a timeout and some triggers after
+    their page without being late. A topic that stays idle holds the others' windows open.
+    """
     duration = F.coalesce(F.col("page.during_time"), F.lit(0))
     views = _visitor_rows(pages, pv_ct=F.lit(1), sv_ct=is_entry().cast("long"), dur_sum=duration)
-    return views.unionByName(visits_counted(visits)).unionByName(jumps_counted(jumps))
+    views, visits, jumps = (watermarked(x, delay) for x in (views, visits_counted(visits), jumps_counted(jumps)))
+    return views.unionByName(visits).unionByName(jumps)
 
 
-def visitor_stats(rows: DataFrame, size: str = "10 seconds", delay: str = "15 seconds") -> DataFrame:
-    """Measures by segment and window. Jumps are known only after their timeout, which the delay has to cover."""
+def visitor_stats(rows: DataFrame, size: str = "10 seconds") -> DataFrame:
+    """Measures by segment and window of the rows of `visitor_union`."""
     sums = [F.sum(m).alias(m) for m in VISITOR_MEASURES]
-    grouped = watermarked(rows, delay).groupBy(F.window("ts", size).alias("w"), *SEGMENT).agg(*sums)
+    grouped = rows.groupBy(F.window("ts", size).alias("w"), *SEGMENT).agg(*sums)
     return grouped.select(*window_bounds(F.col("w")), *SEGMENT, *VISITOR_MEASURES)
 
 
@@ -84,6 +93,18 @@ def _product_rows(rows: DataFrame, ts: Column, sku: Column | str, **measures: Co
     )
 
 
+def shown_and_clicked(pages: DataFrame) -> DataFrame:
+    """Clicks and displays of the page log in one pass: a row for each displayed item, and one for a product's page."""
+    item = lambda value, clicked: F.struct(value.alias("item"), F.lit(clicked).alias("clicked"))
+    none = F.array().cast("array<struct<item:string,clicked:int>>")
+    click = F.when(F.col("page.page_id") == PAGE_PRODUCT_DETAIL, F.array(item(F.col("page.item").cast("string"), 1))).otherwise(none)
+    shown = F.coalesce(F.transform("displays", lambda d: item(d["item"].cast("string"), 0)), none)
+    rows = pages.select("ts", F.explode(F.concat(click, shown)).alias("_i"))
+    return _product_rows(
+        rows, event_time("ts"), "_i.item", click_ct=F.col("_i.clicked"), display_ct=1 - F.col("_i.clicked")
+    )
+
+
 def clicks(pages: DataFrame) -> DataFrame:
     shown = pages.where(F.col("page.page_id") == PAGE_PRODUCT_DETAIL)
     return _product_rows(shown, event_time("ts"), "page.item", click_ct=F.lit(1))
@@ -139,41 +160,42 @@ def reviewed(rows: DataFrame) -> DataFrame:
     return _product_rows(rows, text_time("create_time"), "sku_id", comment_ct=F.lit(1), good_comment_ct=good)
 
 
-def product_union(*sources: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, sources)
+def product_union(*sources: DataFrame, delay: str = LATENESS) -> DataFrame:
+    """The sources' rows. Streams have a watermark each, and the slowest one holds (see `visitor_union`)."""
+    return reduce(DataFrame.unionByName, [watermarked(s, delay) for s in sources])
+
 
+def distinct_orders(rows: DataFrame, keys: list, names: list[str], sums=(), totals=()) -> DataFrame:
+    """Exact numbers of distinct orders per key, with sums beside them.
 
-def product_stats(rows: DataFrame, size: str = "2 seconds", delay: str = "10 seconds") -> DataFrame:
-    """Measures by product and window, with exact numbers of distinct orders.
+    `keys` are the columns to group by and `names` what they are called. A row has at most one of the order columns, or
+    the same order in several.
+    """
+    order = F.coalesce(*PRODUCT_ORDERS.values()).alias("_order")
+    seen = [F.max(F.col(c).isNotNull().cast("long")).alias(m) for m, c in PRODUCT_ORDERS.items()]
+    by_order = rows.groupBy(*keys, order).agg(*sums, *seen)
+    return by_order.groupBy(*names).agg(*totals, *[F.sum(m).alias(m) for m in PRODUCT_ORDERS])
+
+
+def product_stats(rows: DataFrame, size: str = "2 seconds") -> DataFrame:
+    """Measures by product and window of the rows of `product_union`, with exact numbers of distinct orders.
 
     The first aggregation is by product and order, so an order is one row to the second, which only counts. A product
     with a third of all orders is spread over its orders there; no set of ids is ever built.
     """
     keys = [F.window("ts", size).alias("w"), F.col("sku_id")]
     sums = [F.sum(m).alias(m) for m in PRODUCT_COUNTS + PRODUCT_AMOUNTS]
-    order = F.coalesce(*PRODUCT_ORDERS.values()).alias("_order")
-    seen = [F.max(F.col(c).isNotNull().cast("long")).alias(m) for m, c in PRODUCT_ORDERS.items()]
-    by_order = watermarked(rows, delay).groupBy(*keys, order).agg(*sums, *seen)
-    counted = [F.sum(m).alias(m) for m in PRODUCT_ORDERS]
     totals = [F.sum(m).alias(m) for m in PRODUCT_COUNTS + PRODUCT_AMOUNTS]
-    grouped = by_order.groupBy("w", "sku_id").agg(*totals, *counted)
+    grouped = distinct_orders(rows, keys, ["w", "sku_id"], sums, totals)
     return grouped.select(
         *window_bounds(F.col("w")), "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS, *PRODUCT_ORDERS
     )
 
 
-def distinct_orders(rows: DataFrame, keys: list[str], orders: dict[str, str]) -> DataFrame:
-    """Exact numbers of distinct ids per key: `orders` maps each count's name to its id column.
-
-    Spark drops repeated ids on (key, id) before it counts, so the ids of a busy key are spread.
-    """
-    return rows.groupBy(*keys).agg(*[F.count_distinct(c).alias(n) for n, c in orders.items()])
-
-
 # Provinces
 
 
-def province_stats(wide: DataFrame, size: str = "2 seconds", delay: str = "0 seconds") -> DataFrame:
+def province_stats(wide: DataFrame, size: str = "2 seconds", delay: str = LATENESS) -> DataFrame:
     """Amount, lines and orders by province and window of the order's creation."""
     timed = wide.withColumn("ts", text_time("create_time")) if "ts" not in wide.columns else wide
     by_order = (
@@ -202,5 +224,10 @@ def searches(pages: DataFrame) -> DataFrame:
 def keyword_stats(phrases: DataFrame, size: str = "2 seconds", delay: str = "2 seconds", split=words) -> DataFrame:
     """Occurrences of each word by window."""
     said = explode_words(watermarked(phrases, delay), "full_word", "keyword", split)
-    grouped = said.groupBy(F.window("ts", size).alias("w"), "keyword").agg(F.count(F.lit(1)).alias("ct"))
-    return grouped.select("keyword", "ct", F.lit(KEYWORD_SEARCH).alias("source"), *window_bounds(F.col("w")))
+    return counted(said, size, "keyword").withColumn("source", F.lit(KEYWORD_SEARCH)).select("keyword", "ct", "source", "stt", "edt")
+
+
+def counted(rows: DataFrame, size: str, *keys: str) -> DataFrame:
+    """Rows by window and keys."""
+    grouped = rows.groupBy(F.window("ts", size).alias("w"), *keys).agg(F.count(F.lit(1)).alias("ct"))
+    return grouped.select(*window_bounds(F.col("w")), *keys, "ct")

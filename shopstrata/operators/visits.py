@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.times import day_of, event_time
 from .joins import balanced_join
-from .logs import entry_pages, is_entry
+from .logs import entry_pages, is_entry, time_order
 
 
 def unique_visits(
@@ -30,9 +30,10 @@ def unique_visits(
             .drop("_day", "_mid", "_at")
         )
     if mode == "first":
-        row = F.struct(*pages.columns)
-        firsts = visits.groupBy("common.mid", "_day").agg(F.min_by(row, F.struct("ts", id_col)).alias("_row"))
-        return firsts.select("_row.*")
+        # The aggregate holds numbers only; the pages are found again by device and by time and id.
+        keyed = visits.select("*", F.col("common.mid").alias("_mid"), time_order("ts", id_col).alias("_order"))
+        firsts = keyed.groupBy("_mid", "_day").agg(F.min("_order").alias("_order"))
+        return keyed.join(firsts, ["_mid", "_day", "_order"], "left_semi").select(*pages.columns)
     if mode == "first_day":
         keyed = visits.withColumn("_mid", F.col("common.mid"))
         first_days = keyed.groupBy("_mid").agg(F.min("_day").alias("_day"))
@@ -53,28 +54,15 @@ def user_jumps(
     if pages.isStreaming:
         return _stream_jumps(pages, timeout_seconds, delay)
     timeout = timeout_seconds * 1000
-    slot = F.floor(F.col("ts") / timeout)
-    # A device's log is cut into slots of one timeout, so a busy device is many groups. Pages that are no entry travel
-    # without their payload, once to their own slot and once to the slot before, where late entries look for them.
-    rows = pages.where("common.mid is not null").select(
-        F.col("common.mid").alias("_mid"),
-        F.explode(F.when(is_entry(), F.array(slot)).otherwise(F.array(slot, slot - 1))).alias("_slot"),
-        F.col("ts").alias("_ts"),
-        F.col(id_col).alias("_id"),
-        F.when(~is_entry(), F.col("ts")).alias("_follow"),
-        F.when(is_entry(), F.struct(*pages.columns)).alias("_entry"),
-    )
-    later = (
-        Window.partitionBy("_mid", "_slot")
-        .orderBy(F.desc("_ts"), F.desc("_id"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    gap = F.min("_follow").over(later) - F.col("_ts")
-    return (
-        rows.withColumn("_gap", gap)
-        .where(F.col("_entry").isNotNull() & (F.col("_gap").isNull() | (F.col("_gap") >= timeout)))
-        .select("_entry.*")
-    )
+    # A device's log is cut into slots of one timeout, so a busy device is many groups, and of a slot's follow-ups only
+    # the last and the first matter: a later one in the entry's own slot is within the timeout, and of the next slot
+    # the first one tells.
+    slotted = pages.where("common.mid is not null").select("*", F.col("common.mid").alias("_mid"), F.floor(F.col("ts") / timeout).alias("_slot"), time_order("ts", id_col).alias("_order"))
+    follows = slotted.where(~is_entry()).groupBy("_mid", "_slot").agg(F.max("_order").alias("_last"), F.min("ts").alias("_first"))
+    own, following = follows.select("_mid", "_slot", "_last"), follows.select("_mid", (F.col("_slot") - 1).alias("_slot"), "_first")
+    entries = slotted.where(is_entry()).join(own, ["_mid", "_slot"], "left").join(following, ["_mid", "_slot"], "left")
+    followed = (F.col("_last") > F.col("_order")) | (F.col("_first") < F.col("ts") + timeout)
+    return entries.where(~F.coalesce(followed, F.lit(False))).select(*pages.columns)
 
 
 def _stream_jumps(pages: DataFrame, timeout_seconds: int, delay: str) -> DataFrame:

@@ -79,21 +79,18 @@ def join_orders(
     details: DataFrame,
     lower: str = "-5 seconds",
     upper: str = "5 seconds",
-    counted_in: DataFrame | None = None,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Details with their order, where the detail was created within [order + lower, order + upper]."""
     times = ("create_at", "create_at")
-    return interval_join(details, orders, ("order_id", "id"), times, lower, upper, ["id"], counted_in, sized_by)
+    return interval_join(details, orders, ("order_id", "id"), times, lower, upper, sized_by)
 
 
 def join_payments(
     payments: DataFrame, wide: DataFrame, lower: str = "-15 minutes", upper: str = "5 seconds"
 ) -> DataFrame:
     """Wide orders with their payment, where the order was created within [payment + lower, payment + upper]."""
-    return interval_join(
-        wide, payments, ("order_id", "order_id"), ("create_at", "create_at"), lower, upper, ["detail_id"]
-    )
+    return interval_join(wide, payments, ("order_id", "order_id"), ("create_at", "create_at"), lower, upper)
 
 
 def merge_payment_wide(joined: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def order_wide(
 
     Each side gets its dimensions before the two are joined: an order meets its user and province once instead of once
     a line, and the rows that are shuffled for it are the narrow ones. The dimensions are matched by unique key, so
-    the result is the same. `sized_by` is the table to measure when `orders` is itself the result of joins.
+    the result is the same. `sized_by` is a plain table with the rows of `orders` when that is itself made by joins.
     """
     heads, lines = orders, details
     orders, details = wide.derive_order_time(orders), wide.derive_create_at(details)
@@ -52,7 +52,7 @@ def order_wide(
     orders = dims.with_province(orders, dimensions.provinces, spread_by=["id"], counted_in=heads)
     flat = dimensions.flat_skus()
     details = dims.with_flat_sku(details, flat, spread_by=["id"], sized_by=dimensions.skus, counted_in=lines)
-    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper, lines, sized_by))
+    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper, sized_by))
 
 
 def bare_order_wide(
@@ -64,10 +64,9 @@ def bare_order_wide(
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Order lines with their order, without dimensions; the form for streams, which are named per micro-batch."""
-    lines = details
     orders = stats.watermarked(wide.derive_order_time(orders), delay, "create_at")
     details = stats.watermarked(wide.derive_create_at(details), delay, "create_at")
-    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper, lines, sized_by))
+    return wide.merge_order_wide(wide.join_orders(orders, details, lower, upper, sized_by))
 
 
 def name_order_wide(bare: DataFrame, dimensions: Dimensions, as_of: dt.date | None = None) -> DataFrame:
@@ -97,11 +96,12 @@ def visitor_stats(
     jump_timeout: int = 10,
     zone: str | None = None,
     size: str = "10 seconds",
+    delay: str = stats.LATENESS,
 ) -> DataFrame:
     """Visitor statistics of a page log; the visits and jumps of a batch are derived here when not given."""
     visits_rows = visits.unique_visits(pages, zone=zone) if visits_rows is None else visits_rows
     jumps_rows = visits.user_jumps(pages, jump_timeout) if jumps_rows is None else jumps_rows
-    return stats.visitor_stats(stats.visitor_union(pages, visits_rows, jumps_rows), size, f"{jump_timeout + 5} seconds")
+    return stats.visitor_stats(stats.visitor_union(pages, visits_rows, jumps_rows, delay), size)
 
 
 def product_rows(
@@ -112,22 +112,23 @@ def product_rows(
     payments_wide: DataFrame,
     refunds: DataFrame,
     comments: DataFrame,
+    delay: str = stats.LATENESS,
 ) -> DataFrame:
     return stats.product_union(
-        stats.clicks(pages),
-        stats.displays(pages),
+        stats.shown_and_clicked(pages),
         stats.favors(favors),
         stats.carts(carts),
         stats.ordered(orders_wide),
         stats.paid(payments_wide),
         stats.refunded(refunds),
         stats.reviewed(comments),
+        delay=delay,
     )
 
 
-def product_stats(rows: DataFrame, dimensions: Dimensions, size: str = "2 seconds", delay: str = "10 seconds") -> DataFrame:
+def product_stats(rows: DataFrame, dimensions: Dimensions, size: str = "2 seconds") -> DataFrame:
     """Product statistics, aggregated first and named afterwards."""
-    return name_products(stats.product_stats(rows, size, delay), dimensions)
+    return name_products(stats.product_stats(rows, size), dimensions)
 
 
 def name_products(grouped: DataFrame, dimensions: Dimensions) -> DataFrame:

@@ -1,11 +1,12 @@
-"""Session settings and the shared folder for tables written between layers."""
+"""Session settings and the shared folder."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -29,24 +30,13 @@ def local_session(cores: int | str = 8, app: str = "shopstrata", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only a local session without one gets a folder of its own."""
+    """The cluster's shared folder. Only a local session without one gets a folder of its own, deleted at its end."""
     folder = spark.conf.get(_CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="shopstrata-", dir="/tmp")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set(_CHECKPOINT_DIR, folder)
     return folder
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a layer's table once to the shared folder and go on from the files.
-
-    Each layer is read by several jobs, so it is computed once; reading it back as parquet keeps column pruning and
-    filter pushdown, and a lost executor costs only its own tasks, not the lineage behind the layer.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

@@ -15,9 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import constants as C
 from ..plans.layers import Dimensions
 from ..schemas import KEYWORD_STATS, PRODUCT_STATS, PROVINCE_STATS, VISITOR_STATS
-from ..sources.dimstore import DimTable
+from ..operators.stats import LATENESS
+from ..sources.dimstore import DimStore
 from ..sources.jdbc import read_query
-from ..sources.topics import FolderTopics, KafkaTopics
+from ..sources.topics import PER_TRIGGER, FolderTopics, KafkaTopics
 from . import jobs
 from .routing import RoutingConfig
 from .sinks import BatchWriter, serving_folder, start_batches, topic_rows
@@ -35,6 +36,9 @@ class Warehouse:
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     bounds: dict[str, str] = field(default_factory=dict)
     jump_timeout: int = 10
+    # How far rows of one topic may be out of order, for all jobs and, by name, for some.
+    lateness: str = LATENESS
+    latenesses: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
         self.serving = self.serving or serving_folder(f"{self.root}/serving")
@@ -46,11 +50,13 @@ class Warehouse:
     def read(self, topic: str, job: str) -> DataFrame:
         return self.topics.read(self.spark, topic, job)
 
+    def delay(self, job: str) -> str:
+        return self.latenesses.get(job, self.lateness)
+
     def dimensions(self) -> Dimensions:
-        tables = {
-            part: DimTable(self.spark, self.dim_root, name, columns.split()).read()
-            for part, (name, columns) in C.DIMENSIONS.items()
-        }
+        store = DimStore(self.spark, self.dim_root)
+        rows = store.rows()
+        tables = {part: store.read(name, columns.split(), rows=rows) for part, (name, columns) in C.DIMENSIONS.items()}
         return Dimensions(**tables)
 
     def to_topic(self, topic: str, job: str) -> BatchWriter:
@@ -72,29 +78,34 @@ def change_route(w: Warehouse) -> StreamingQuery:
 
 
 def unique_visit(w: Warehouse) -> StreamingQuery:
-    rows = jobs.unique_visits(w.read(C.DWD_PAGE, "unique_visit"))
+    rows = jobs.unique_visits(w.read(C.DWD_PAGE, "unique_visit"), delay=w.delay("unique_visit"))
     return w.start(rows, "unique_visit", w.to_topic(C.DWM_UNIQUE_VISIT, "unique_visit"))
 
 
 def user_jump(w: Warehouse) -> StreamingQuery:
-    rows = jobs.user_jumps(w.read(C.DWD_PAGE, "user_jump"), w.jump_timeout)
+    rows = jobs.user_jumps(w.read(C.DWD_PAGE, "user_jump"), w.jump_timeout, w.delay("user_jump"))
     return w.start(rows, "user_jump", w.to_topic(C.DWM_USER_JUMP, "user_jump"))
 
 
+def dirty_page(w: Warehouse) -> StreamingQuery:
+    return w.start(jobs.dirty_pages(w.read(C.DWD_PAGE, "dirty_page")), "dirty_page", w.topics.writer("dirty_page"))
+
+
 def order_wide(w: Warehouse) -> StreamingQuery:
     orders, details = (w.read(t, "order_wide") for t in (C.DWD_ORDER_INFO, C.DWD_ORDER_DETAIL))
     write = jobs.named_orders(w.dimensions, w.to_topic(C.DWM_ORDER_WIDE, "order_wide"))
-    return w.start(jobs.order_wide(orders, details, **w.bounds), "order_wide", write)
+    return w.start(jobs.order_wide(orders, details, w.delay("order_wide"), **w.bounds), "order_wide", write)
 
 
 def payment_wide(w: Warehouse) -> StreamingQuery:
     payments, wide = (w.read(t, "payment_wide") for t in (C.DWD_PAYMENT_INFO, C.DWM_ORDER_WIDE))
-    return w.start(jobs.payment_wide(payments, wide), "payment_wide", w.to_topic(C.DWM_PAYMENT_WIDE, "payment_wide"))
+    rows = jobs.payment_wide(payments, wide, w.delay("payment_wide"))
+    return w.start(rows, "payment_wide", w.to_topic(C.DWM_PAYMENT_WIDE, "payment_wide"))
 
 
 def visitor_stats(w: Warehouse) -> StreamingQuery:
     inputs = [w.read(t, "visitor_stats") for t in (C.DWD_PAGE, C.DWM_UNIQUE_VISIT, C.DWM_USER_JUMP)]
-    rows = jobs.visitor_stats(*inputs, jump_timeout=w.jump_timeout)
+    rows = jobs.visitor_stats(*inputs, jump_timeout=w.jump_timeout, delay=w.delay("visitor_stats"))
     return w.start(rows, "visitor_stats", w.serving(C.VISITOR_TABLE, VISITOR_STATS))
 
 
@@ -108,17 +119,17 @@ def product_stats(w: Warehouse) -> StreamingQuery:
         C.DWD_REFUND_INFO,
         C.DWD_COMMENT_INFO,
     )
-    rows = jobs.product_stats(*[w.read(t, "product_stats") for t in topics])
+    rows = jobs.product_stats(*[w.read(t, "product_stats") for t in topics], delay=w.delay("product_stats"))
     return w.start(rows, "product_stats", jobs.named_products(w.dimensions, w.serving(C.PRODUCT_TABLE, PRODUCT_STATS)))
 
 
 def province_stats(w: Warehouse) -> StreamingQuery:
-    rows = jobs.province_stats(w.read(C.DWM_ORDER_WIDE, "province_stats"))
+    rows = jobs.province_stats(w.read(C.DWM_ORDER_WIDE, "province_stats"), delay=w.delay("province_stats"))
     return w.start(rows, "province_stats", w.serving(C.PROVINCE_TABLE, PROVINCE_STATS))
 
 
 def keyword_stats(w: Warehouse) -> StreamingQuery:
-    rows = jobs.keyword_stats(w.read(C.DWD_PAGE, "keyword_stats"))
+    rows = jobs.keyword_stats(w.read(C.DWD_PAGE, "keyword_stats"), delay=w.delay("keyword_stats"))
     return w.start(rows, "keyword_stats", w.serving(C.KEYWORD_TABLE, KEYWORD_STATS))
 
 
@@ -128,6 +139,7 @@ APPS: dict[str, Callable[[Warehouse], StreamingQuery]] = {
     for app in (
         log_split,
         change_route,
+        dirty_page,
         unique_visit,
         user_jump,
         order_wide,
@@ -149,15 +161,18 @@ def main(argv: list[str] | None = None) -> None:
     where.add_argument("--topic-folder", help="shared folder holding topics as text files")
     parser.add_argument("--routing-url", help="JDBC address of the routing configuration")
     parser.add_argument("--routing-query", default="select * from table_process")
+    parser.add_argument("--lateness", default=LATENESS, help="how far rows of a topic may be out of order")
+    parser.add_argument("--per-trigger", type=int, default=PER_TRIGGER, help="rows of a Kafka topic, or files of a folder, in a batch")
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     args = parser.parse_args(argv)
     provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     builder = SparkSession.builder.appName(args.app).config("spark.sql.streaming.stateStore.providerClass", provider)
     spark = builder.getOrCreate()
-    topics = KafkaTopics(args.servers) if args.servers else FolderTopics(args.topic_folder)
+    topics = KafkaTopics(args.servers, per_trigger=args.per_trigger) if args.servers else FolderTopics(args.topic_folder, args.per_trigger)
     routing = (lambda: read_query(spark, args.routing_url, args.routing_query)) if args.routing_url else None
     trigger = {"availableNow": True} if args.once else {"processingTime": "10 seconds"}
-    APPS[args.app](Warehouse(spark, topics, args.root, routing, trigger=trigger)).awaitTermination()
+    warehouse = Warehouse(spark, topics, args.root, routing, trigger=trigger, lateness=args.lateness)
+    APPS[args.app](warehouse).awaitTermination()
 
 
 if __name__ == "__main__":

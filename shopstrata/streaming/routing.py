@@ -7,12 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.changes import routing_rows
+from ..operators import changes
 from ..schemas import ROUTING
 
-# One row per source table and operation of a database; more would not be a configuration.
-MAX_ROWS = 100_000
-
 
 class RoutingConfig:
     """Routing rows, read again when older than `every` seconds.
@@ -28,11 +25,9 @@ class RoutingConfig:
     def current(self, spark: SparkSession) -> DataFrame:
         now = self._clock()
         if self._read_at is None or now - self._read_at >= self._every:
-            fresh = self._read().select(*ROUTING.names).limit(MAX_ROWS + 1).collect()
-            if len(fresh) > MAX_ROWS:
-                raise RuntimeError(f"more than {MAX_ROWS} routing rows")
-            self._rows |= {(row["source_table"], row["operate_type"]): tuple(row) for row in fresh}
+            # One row for each table and operation of the shop's database, whatever the number of its changes.
+            self._rows = changes.merged_routing(self._rows, self._read().select(*ROUTING.names).collect())
             self._read_at = now
         if not self._rows:
             raise RuntimeError("the routing configuration has no rows")
-        return routing_rows(spark, list(self._rows.values()))
+        return changes.routing_rows(spark, list(self._rows.values()))

@@ -19,19 +19,15 @@ class _FirstVisit(StatefulProcessor):
         self._seen = handle.getValueState("seen", T.StructType([T.StructField("ts", T.LongType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        seen = key[0] is None or self._seen.exists()
+        seen = self._seen.exists()
         for chunk in rows:
             chunk = chunk.sort_values("ts", kind="stable")
-            marked = chunk["is_new"] == _NEW
-            repeat = marked.copy()
-            if key[0] is None:
-                repeat[:] = False
-            elif not seen and marked.any():
-                first = marked.idxmax()
-                repeat[first] = False
-                self._seen.update((int(chunk.loc[first, "ts"]),))
+            mark = pd.Series(_KNOWN, index=chunk.index)
+            if not seen:
+                mark.iloc[0] = _NEW
+                self._seen.update((int(chunk["ts"].iloc[0]),))
                 seen = True
-            yield pd.DataFrame({"is_new": chunk["is_new"].mask(repeat, _KNOWN), "record": chunk["record"]})
+            yield pd.DataFrame({"is_new": mark, "record": chunk["record"]})
 
     def close(self) -> None:
         pass
@@ -40,12 +36,12 @@ class _FirstVisit(StatefulProcessor):
 def repair_is_new_stream(log: DataFrame) -> DataFrame:
     """Keep a device's first `is_new = '1'` to arrive (by time within a batch of rows) and turn later ones into '0'.
 
-    Only the mark, the time and the record's text go through Python. Needs the RocksDB state store.
+    Only marked records of a known device need state; all others pass beside it. Needs the RocksDB state store.
     """
     schema = log.schema
-    rows = log.select(
+    marked = F.coalesce(F.col("common.is_new") == _NEW, F.lit(False)) & F.col("common.mid").isNotNull()
+    rows = log.where(marked).select(
         F.col("common.mid").alias("mid"),
-        F.col("common.is_new").alias("is_new"),
         "ts",
         F.to_json(F.struct(*log.columns)).alias("record"),
     )
@@ -54,4 +50,5 @@ def repair_is_new_stream(log: DataFrame) -> DataFrame:
     )
     record = F.from_json("record", schema).alias("r")
     common = F.col("r.common").withField("is_new", F.col("is_new")).alias("common")
-    return fixed.select("is_new", record).select(*[common if c == "common" else F.col(f"r.{c}") for c in log.columns])
+    fixed = fixed.select("is_new", record).select(*[common if c == "common" else F.col(f"r.{c}") for c in log.columns])
+    return log.where(~marked).unionByName(fixed)

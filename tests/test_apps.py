@@ -38,6 +38,7 @@ LOGS = [
 CLOSING = [
     log("end", FAR_MS, page={"page_id": "x", "item": "end", "item_type": "keyword"}, is_new="0"),
     log("end", FAR_MS, page={"page_id": "x", "item": "end", "item_type": "keyword", "last_page_id": "y"}, is_new="0"),
+    log("end", FAR_MS, page={"page_id": "good_detail", "item": "-1"}, is_new="0"),
 ]
 DIMS = [
     change(1, "user_info", id=5, birthday="2000-01-01", gender="F", tel="1"),

@@ -6,12 +6,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from shopstrata.constants import STATUS_CODES
 from shopstrata.functions import jsonio, times, words
 from shopstrata.operators import changes, dims, logs, reports, stats, visits, wide
 from shopstrata.schemas import APP_LOG, CDC_ROW, CDC_ROWCHANGE, ORDER_INFO, PAGE_VIEW, PRODUCT_STATS, ROUTING
 from shopstrata.sources import jdbc, topics
-from shopstrata.sources.dimstore import DimTable
+from shopstrata.sources.dimstore import DimStore, table_columns
 from shopstrata.streaming import sinks
 from shopstrata.streaming.routing import RoutingConfig
 
@@ -113,33 +112,55 @@ def test_routing_config_refresh(spark):
         RoutingConfig(lambda: spark.createDataFrame([], ROUTING)).current(spark)
 
 
-def dim_changes(spark, *rows):
-    return spark.createDataFrame([(x, d) for x, d in rows], "xid long, data map<string,string>")
+def dim_changes(spark, *rows, table="dim_user"):
+    rows = [(table, "id", *r, 0) if len(r) == 2 else (table, "id", *r) for r in rows]
+    return spark.createDataFrame(rows, "sink_table string, sink_pk string, xid long, data map<string,string>, log_id long")
 
 
-def test_dim_table_upserts_by_column_and_repeats_batches(spark):
-    table = DimTable(spark, str(new_dir()), "dim_user", ["id", "name", "city"])
-    assert table.read().count() == 0
+def test_dimensions_merge_by_column_version_and_place(spark):
+    store = DimStore(spark, str(new_dir()))
+    users = lambda: {tuple(r) for r in store.read("dim_user", ["id", "name", "city"]).collect()}
+    assert users() == set()
     first = dim_changes(spark, (1, {"id": "1", "name": "Ann", "city": "Oslo"}), (2, {"id": "2", "name": "Bo"}))
-    table.write(first, 0)
-    table.write(first, 0)
-    table.write(dim_changes(spark, (4, {"id": "1", "name": "Anna"}), (3, {"id": "1", "name": "Anne"}), (5, {"id": "1", "city": None})), 1)
+    store.write(first, 0)
+    store.write(first, 0)
+    store.write(dim_changes(spark, (4, {"id": "1", "name": "Anna"}), (3, {"id": "1", "name": "Anne"}), (5, {"id": "1", "city": None})), 1)
+    store.write(dim_changes(spark, (1, {"id": "7"}), (1, {"name": "no key"}), table="dim_other"), 2)
     expected = {("1", "Anna", None), ("2", "Bo", None)}
-    assert {tuple(r) for r in table.read().collect()} == expected
-    table.compact(1)
-    table.compact(1)
-    assert {tuple(r) for r in table.read().collect()} == expected
-    table.write(dim_changes(spark, (4, {"id": "1", "name": "again"})), 1)
-    assert {tuple(r) for r in table.read().collect()} == expected
-    table.write(dim_changes(spark, (6, {"id": "2", "city": "Rome"})), 2)
-    assert {tuple(r) for r in table.read().collect()} == {("1", "Anna", None), ("2", "Bo", "Rome")}
-
-
-def test_dim_table_from_routing(spark):
+    assert users() == expected
+    store.fold()
+    store.fold()
+    assert users() == expected and store.read("dim_other", ["id"]).count() == 1
+    store.write(dim_changes(spark, (9, {"id": "1", "name": "again"})), 1)  # folded already
+    assert users() == expected
+    # An earlier version that arrives after the fold stays behind, a later one wins; of one version the later place.
+    store.write(dim_changes(spark, (3, {"id": "1", "name": "old"}), (6, {"id": "2", "city": "Bonn"}, 5), (6, {"id": "2", "city": "Rome"}, 8)), 3)
+    assert users() == {("1", "Anna", None), ("2", "Bo", "Rome")}
+    store.fold()
+    assert users() == {("1", "Anna", None), ("2", "Bo", "Rome")}
+
+
+def test_dimensions_after_a_new_checkpoint_and_their_files(spark):
+    root = new_dir()
+    store = DimStore(spark, str(root))
+    for n in range(6):
+        store.write(dim_changes(spark, (n, {"id": "1", "name": f"old{n}"})), n, "first")
+        if n % 2:
+            store.fold()
+    assert not list(root.glob("changes/*/batch=*"))
+    assert len(list(root.glob("base/*"))) == 2 and len(list(root.glob("marks/*"))) == 2
+    store.write(dim_changes(spark, (9, {"id": "1", "name": "new"})), 0, "second")
+    assert [tuple(r) for r in store.read("dim_user", ["id", "name"]).collect()] == [("1", "new")]
+
+
+def test_dimension_columns_of_all_routing_rows():
     row = {"sink_table": "dim_x", "sink_columns": "id,name", "sink_pk": None}
-    assert DimTable.from_routing(spark, "/tmp", row).pk == "id"
+    other = {"sink_table": "dim_x", "sink_columns": "id,level", "sink_pk": "id"}
+    assert table_columns([row, other]) == {"dim_x": (["id", "name", "level"], "id")}
+    with pytest.raises(ValueError):
+        table_columns([row | {"sink_pk": "code"}])
     with pytest.raises(ValueError):
-        DimTable.from_routing(spark, "/tmp", row | {"sink_pk": "code"})
+        table_columns([row, {"sink_table": "dim_x", "sink_columns": "id,name", "sink_pk": "name"}])
 
 
 def test_lookup_needs_a_column(spark):
@@ -215,7 +236,3 @@ def test_modes_are_checked(spark):
     log = jsonio.parse(text(spark, PAGE), APP_LOG).withColumn("log_id", F.lit(1))
     with pytest.raises(ValueError):
         visits.unique_visits(log, "other")
-
-
-def test_codes():
-    assert STATUS_CODES["1203"] == "good review" and len(STATUS_CODES) == 38

@@ -10,7 +10,7 @@ from shopstrata.operators import logs, stats, visits, wide
 from shopstrata.plans import layers
 from shopstrata.schemas import ROUTING
 from shopstrata.sources import sample
-from shopstrata.sources.dimstore import DimTable
+from shopstrata.sources.dimstore import DimStore
 from shopstrata.streaming import jobs, sinks
 from shopstrata.streaming.routing import RoutingConfig
 
@@ -29,7 +29,11 @@ def page(mid, ts, last=None, **fields):
 
 # Filters reach below the watermark, so the closing rows have to pass the filters of every job.
 SEARCH = {"item_type": "keyword", "item": "closing"}
-CLOSING = [page("closing", FAR, **SEARCH), page("closing", FAR, last="home", **SEARCH)]
+CLOSING = [
+    page("closing", FAR, **SEARCH),
+    page("closing", FAR, last="home", **SEARCH),
+    page("closing", FAR, page_id="good_detail", item="-1"),
+]
 
 
 @pytest.fixture(scope="module")
@@ -162,13 +166,12 @@ def test_product_stats_equal_batch(spark, sample_dir, page_folder):
         sample.refund_info(spark, sample_dir),
         sample.comment_info(spark, sample_dir),
     ]
-    # Watermarks are the minimum over all inputs only if each input moves; a wide delay keeps every row in time.
     folders = []
     for table in tables:
         time = "payment_create_time" if "payment_create_time" in table.columns else "create_time"
         folders.append(in_three(table, time, {"sku_id": -1, time: FAR_TEXT}))
     work = new_dir()
-    job = jobs.product_stats(*[lines(spark, f) for f in (page_folder, *folders)], delay="20000 days")
+    job = jobs.product_stats(*[lines(spark, f) for f in (page_folder, *folders)])
     write = jobs.named_products(lambda: Q.dimensions(spark, sample_dir), sinks.batch_folders(str(work / "out")))
     sinks.start_batches(job, write, str(work / "cp")).awaitTermination()
     found = spark.read.parquet(str(work / "out")).drop("batch").where("stt < '2100'")
@@ -191,9 +194,9 @@ def test_late_rows_are_dropped(spark):
     base = 1_704_067_200_000
     search = {"item_type": "keyword"}
     write_file(folder, [page("a", base, item="red ring", **search)])
-    write_file(folder, [page("a", base + 60_000, item="blue ring", **search)])
+    write_file(folder, [page("a", base + 120_000, item="blue ring", **search)])
     # Lateness is judged by the watermark of the batch before, so one more batch passes in between.
-    write_file(folder, [page("a", base + 70_000, item="blue", **search)])
+    write_file(folder, [page("a", base + 130_000, item="blue", **search)])
     write_file(folder, [page("a", base, item="late ring", **search)])
     write_file(folder, CLOSING)
     write_file(folder, CLOSING)
@@ -219,11 +222,11 @@ def test_changes_follow_the_configuration(spark):
         ("order_info", "insert", "kafka", "dwd_order_info", "id", "id", None),
     ]
     config = RoutingConfig(lambda: spark.createDataFrame(rows, ROUTING))
-    write = jobs.routed_changes(config, sinks.batch_folders(str(work / "records")), str(work / "dims"), compact_every=1)
+    write = jobs.routed_changes(config, sinks.batch_folders(str(work / "records")), str(work / "dims"), fold_every=1)
     sinks.start_batches(jobs.change_rows(lines(spark, folder)), write, str(work / "cp")).awaitTermination()
     records = spark.read.parquet(str(work / "records")).select("topic", "value").collect()
     assert [tuple(r) for r in records] == [("dwd_order_info", '{"id":"9"}')]
-    users = DimTable(spark, str(work / "dims"), "dim_user", ["id", "name"]).read()
+    users = DimStore(spark, str(work / "dims")).read("dim_user", ["id", "name"])
     assert [tuple(r) for r in users.collect()] == [("1", "Anna")]
 
 
@@ -243,3 +246,72 @@ def test_console_writer_starts(spark):
     write_file(folder, [page("m", 1)])
     writer = sinks.console_writer(lines(spark, folder)).option("checkpointLocation", str(work / "cp"))
     writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def rounds(spark, job, folders, files, work):
+    """Run a job after each round of files (`files[topic][round]`, None: nothing arrives) and return what it wrote."""
+    for n in range(len(next(iter(files.values())))):
+        for topic, parts in files.items():
+            if parts[n]:
+                write_file(folders[topic], parts[n])
+        out = run(job(), work / "out", work / "cp")
+    return out
+
+
+def test_topics_that_lag_lose_nothing(spark):
+    """Jumps 40 seconds and wide orders 40 seconds behind the pages, payments 15 minutes: by default all count."""
+    base, work = 1_704_067_200_000, new_dir()
+    at = lambda ms: [page("m", ms), page("m", ms, last="home", page_id="good_detail", item="7")]
+    folders = {t: work / t for t in ("pages", "visits", "jumps")}
+    files = {
+        "pages": [at(base), at(base + 40_000), at(base + 80_000), at(base + 120_000), CLOSING, CLOSING],
+        "visits": [[page("m", base)], [page("m", base + 30_000)], None, None, CLOSING, CLOSING],
+        "jumps": [[page("m", base - 40_000)], [page("m", base)], [page("m", base + 40_000)], None, CLOSING, CLOSING],
+    }
+    for f in folders.values():
+        f.mkdir(parents=True)
+    inputs = lambda: [lines(spark, f) for f in folders.values()]
+    found = rounds(spark, lambda: jobs.visitor_stats(*inputs()), folders, files, work / "v").where("stt < '2100'")
+    assert tuple(found.agg(F.sum("pv_ct"), F.sum("uv_ct"), F.sum("uj_ct")).first()) == (8, 2, 3)
+
+    text = lambda ms: spark.range(1).select(F.date_format(F.timestamp_millis(F.lit(ms)), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    closing = {t: [{"sku_id": -1, "create_time": FAR_TEXT, "payment_create_time": FAR_TEXT}] for t in ("favor", "cart", "wide", "paid", "refund", "comment")}
+    wide_row = lambda k, ms: {"detail_id": k, "order_id": k, "sku_id": 7, "sku_num": 1, "split_total_amount": "19.00", "create_time": text(ms)}
+    paid_row = lambda k, ms: wide_row(k, ms) | {"payment_id": k, "payment_create_time": text(ms)}
+    files = {
+        "pages": [at(base), at(base + 600_000), at(base + 960_000), CLOSING, CLOSING],
+        "favor": [None, None, None], "cart": [None, None, None], "refund": [None, None, None], "comment": [None, None, None],
+        "wide": [None, [wide_row(1, base - 40_000)], [wide_row(2, base + 560_000)]],
+        "paid": [None, [paid_row(1, base - 300_000)], [paid_row(2, base + 60_000)]],
+    }
+    files = {t: parts if t == "pages" else [*parts, closing[t], closing[t]] for t, parts in files.items()}
+    order = ["pages", "favor", "cart", "wide", "paid", "refund", "comment"]
+    folders = {t: work / "p" / t for t in order}
+    for f in folders.values():
+        f.mkdir(parents=True)
+    job = lambda: jobs.product_stats(*[lines(spark, folders[t]) for t in order])
+    found = rounds(spark, job, folders, files, work / "w").where("stt < '2100' and sku_id = 7")
+    sums = found.agg(F.sum("click_ct"), F.sum("order_ct"), F.sum("order_amount"), F.sum("paid_order_ct"), F.sum("payment_amount")).first()
+    assert [float(x) for x in sums] == [3, 2, 38.0, 2, 38.0]
+
+
+def test_dirty_pages_have_a_topic(spark):
+    folder, work = new_dir() / "pages", new_dir()
+    write_file(folder, [page("a", 1), {"ts": "never"}, {"common": {}}])
+    found = run(jobs.dirty_pages(lines(spark, folder)), work / "out", work / "cp")
+    assert sorted(r["value"] for r in found.collect()) == ['{"common": {}}', '{"ts": "never"}']
+
+
+def test_serving_days_fold(spark):
+    root = str(new_dir())
+    write = sinks.serving_folder(root)("t", ["stt", "n"])
+    rows = lambda *x: spark.createDataFrame(x, "stt string, n int")
+    write(rows(("2024-03-01 00:00:00", 1), ("2024-03-02 00:00:00", 2)), sinks.Batch.of(0, "a"))
+    write(rows(("2024-03-01 00:00:00", 1), ("2024-03-02 00:00:00", 2)), sinks.Batch.of(0, "a"))
+    write(rows(("2024-03-01 00:00:02", 3)), sinks.Batch.of(0, "b"))
+    read = lambda: sorted((str(r["dt"]), r["n"]) for r in spark.read.parquet(f"{root}/t").collect())
+    want = [("2024-03-01", 1), ("2024-03-01", 3), ("2024-03-02", 2)]
+    assert read() == want
+    sinks.fold_day(spark, f"{root}/t", "2024-03-01")
+    sinks.fold_day(spark, f"{root}/t", "2024-03-01")
+    assert read() == want
