@@ -6,9 +6,10 @@
 2. Candidates that are left are confirmed on the full sets.
 
 Texts with the same set are one class from the start. Within a band's bucket each class is first compared with the smallest
-one only, by its best such estimate. Components of these links make most buckets one component; in the others all pairs of
-different components are estimated, block by block, and confirmed. So every pair that shares a bucket ends in one component
-or has been compared, and groups of copies never expand into their pairs.
+one only, by its best such estimate. Components of these links make most buckets one component. Classes in the others get
+1024 minima; all pairs of different components in a bucket are estimated from these, block by block, and the few that are
+near the threshold are confirmed. So every pair that shares a bucket ends in one component or has been compared, and groups
+of copies never expand into their pairs.
 """
 
 from __future__ import annotations
@@ -26,14 +27,16 @@ from .components import components
 from .shared import table
 from .words import U, VISIBLE, mixed, split, windows
 
-HASHES, BITS = 128, 4
+HASHES, WIDE, BITS = 128, 1024, 4
 #: A pair at the threshold shares no band with at most this probability.
 MISSED = 1e-6
 #: Members of a bucket that are compared with each other at once, and texts that are confirmed beside one.
 BLOCK, BESIDE = 512, 256
+#: Up to so many ids (of 8 bytes) are broadcast to pick rows by; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
-_XOR = mixed(np.arange(501, 501 + HASHES, dtype=U))
-_TIMES = mixed(np.arange(901, 901 + HASHES, dtype=U)) | U(1)
+_XOR = mixed(np.arange(10_501, 10_501 + WIDE, dtype=U))
+_TIMES = mixed(np.arange(20_901, 20_901 + WIDE, dtype=U)) | U(1)
 
 
 @dataclass(frozen=True)
@@ -50,12 +53,11 @@ class Likeness:
         s = self.above / self.below
         return max(r for r in range(1, 17) if r == 1 or (1 - s**r) ** (HASHES // r) <= MISSED)
 
-    @property
-    def matches(self) -> int:
+    def matches(self, hashes: int = HASHES) -> int:
         """Equal low bits that a pair at the threshold has, less five standard deviations."""
         chance = 1 / (1 << BITS)
         p = self.above / self.below * (1 - chance) + chance
-        return math.floor(HASHES * p - 5 * math.sqrt(HASHES * p * (1 - p)))
+        return math.floor(hashes * p - 5 * math.sqrt(hashes * p * (1 - p)))
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         if self.below * min(len(a), len(b)) < self.above * max(len(a), len(b)):
@@ -70,13 +72,13 @@ def sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return [np.unique(hashes[a:b]) for a, b in zip(first, first[1:])]
 
 
-def minima(found: list[np.ndarray]) -> np.ndarray:
+def minima(found: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
     """The minima of each (non-empty) set, a row for each."""
     whole = np.concatenate(found)
     heads = np.cumsum([0, *map(len, found[:-1])])
-    out = np.empty((len(found), HASHES), U)
+    out = np.empty((len(found), hashes), U)
     with np.errstate(over="ignore"):
-        for k in range(HASHES):
+        for k in range(hashes):
             out[:, k] = np.minimum.reduceat((whole ^ _XOR[k]) * _TIMES[k], heads)
     return out
 
@@ -89,12 +91,14 @@ def low_bits(minima_: np.ndarray) -> np.ndarray:
 
 def equal_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """How many of the low-bit groups are equal, for all rows of a with all rows of b."""
-    out = np.full((len(a), len(b)), HASHES, np.int16)
-    for k in range(a.shape[1]):
-        x = a[:, k, None] ^ b[None, :, k]
+    words = a.shape[1]
+    out = np.full((len(a), len(b)), words * 64 // BITS, np.int32)
+    step = max(1, min(words, (1 << 16) // max(1, len(a) * len(b))))
+    for k in range(0, words, step):
+        x = a[:, None, k : k + step] ^ b[None, :, k : k + step]
         x |= x >> U(2)
         x |= x >> U(1)
-        out -= np.bitwise_count(x & U(0x1111111111111111)).astype(np.int16)
+        out -= np.bitwise_count(x & U(0x1111111111111111)).sum(axis=2, dtype=np.int32)
     return out
 
 
@@ -147,6 +151,12 @@ def _matches(a: str, b: str) -> F.Column:
     return F.lit(HASHES) - F.aggregate(F.zip_with(a, b, different), F.lit(0), lambda n, x: n + x)
 
 
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `docs` with one of the ids (distinct, column doc_id)."""
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
     """Of the pairs (a, b) of ids those whose full sets are alike.
 
@@ -157,7 +167,8 @@ def confirm(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
     pairs = pairs.join(counts, "b").select("a", "b", chunk.alias("chunk"))
     heads = pairs.select(F.col("b").alias("doc_id"), "b", "chunk").distinct().withColumn("member", F.lit(False))
     members = pairs.select(F.col("a").alias("doc_id"), "b", "chunk", F.lit(True).alias("member"))
-    rows = heads.unionByName(members).join(docs, "doc_id").select("b", "chunk", "member", "doc_id", "text")
+    ids = table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    rows = heads.unionByName(members).join(_only(docs, ids), "doc_id").select("b", "chunk", "member", "doc_id", "text")
 
     def work(batches):
         at, beside = None, []
@@ -177,17 +188,39 @@ def confirm(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
     return rows.repartition("b", "chunk").sortWithinPartitions("b", "chunk", "member").mapInArrow(work, "a long, b long")
 
 
-def _crossing(classes: DataFrame, labels: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of classes of different components that share a bucket and could be alike."""
-    rows = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "rep", F.coalesce("component", "rep").alias("component"), F.explode("bands").alias("band")
+def _wide(docs: DataFrame, like: Likeness) -> DataFrame:
+    """docs: doc_id, text. The packed low bits of WIDE minima as (rep, wide)."""
+
+    def work(batches):
+        for batch in batches:
+            for part in parts(batch, "text"):
+                found = sets(part.column("text"), like.size)
+                full = [i for i, x in enumerate(found) if len(x)]
+                if full:
+                    low = low_bits(minima([found[i] for i in full], WIDE))
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(full)), _lists(low)], names=["rep", "wide"])
+
+    return docs.mapInArrow(work, "rep long, wide array<long>")
+
+
+def _crossing(shared: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
+    """Pairs of classes of different components that share a bucket and could be alike.
+
+    shared: the rows (band, number, rep) of buckets with several classes.
+    """
+    rows = shared.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "rep", F.coalesce("component", "rep").alias("component"), "band", "number"
     )
     # A bucket's largest component is compared with the rest, and the rest with itself, in blocks of members.
     counts = rows.groupBy("band", "component").agg(F.count("*").alias("n"))
     mixed_ = counts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n")).where("top.n < n")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     mixed_ = mixed_.select("band", F.col("top.component").alias("top"), blocks(F.col("top.n")).alias("tops"), blocks(F.col("n") - F.col("top.n")).alias("others"))
-    rows = rows.join(mixed_, "band")
+    rows = table(rows.join(mixed_, "band"), "mixed-buckets")
+    ids = table(rows.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+    # Beside the wide sketch a member carries 32 bits of each of its bands, so that a pair is given by its first one only.
+    tags = classes.select("rep", F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("tags"))
+    sketch = table(_wide(_only(docs, ids), like).join(tags, "rep"), "wide-sketches")
     in_top = F.col("component") == F.col("top")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.when(in_top, F.col("tops")).otherwise(F.col("others"))).cast("int"))
     # side: 1 for the left of a comparison, 2 for the right, 3 for both.
@@ -199,24 +232,31 @@ def _crossing(classes: DataFrame, labels: DataFrame, like: Likeness) -> DataFram
         F.transform(numbers("tops"), lambda k: group(0, k, block, F.lit(2))),
         F.transform(numbers("others"), lambda j: group(1, F.least(block, j), F.greatest(block, j), F.when(block == j, 3).when(block < j, 1).otherwise(2))),
     )
-    rows = rows.select("rep", "component", "band", F.explode(F.when(in_top, of_top).otherwise(of_rest)).alias("group"))
-    rows = rows.join(classes.select("rep", "low"), "rep")
-    groups = rows.groupBy("band", "group.kind", "group.x", "group.y").agg(F.collect_list(F.struct("rep", "component", "group.side", "low")).alias("members"))
+    rows = rows.select("rep", "component", "band", "number", F.explode(F.when(in_top, of_top).otherwise(of_rest)).alias("group"))
+    rows = rows.join(sketch, "rep")
+    members = F.collect_list(F.struct("rep", "component", "group.side", "wide", "tags")).alias("members")
+    groups = rows.groupBy("band", "number", "group.kind", "group.x", "group.y").agg(members)
+    least = like.matches(WIDE)
 
     def work(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
+            found = [np.zeros((2, 0), np.int64)]
+            for i, number in enumerate(batch.column("number").to_pylist()):
                 members = batch.column("members")[i].values
                 rep, component, side = (members.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "component", "side"))
-                low = members.field("low").flatten().to_numpy(zero_copy_only=False).view(U).reshape(len(rep), -1)
+                wide, tag = (members.field(c).flatten().to_numpy(zero_copy_only=False).reshape(len(rep), -1) for c in ("wide", "tags"))
                 left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
-                good = (equal_bits(low[left], low[right]) >= like.matches) & (component[left][:, None] != component[right][None, :])
+                good = component[left][:, None] != component[right][None, :]
+                good &= equal_bits(wide[left].view(U), wide[right].view(U)) >= least
                 x, y = np.nonzero(good)
-                x, y = rep[left[x]], rep[right[y]]
-                pairs = np.unique(np.stack([np.maximum(x, y), np.minimum(x, y)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+                x, y = left[x], right[y]
+                first = ~(tag[x, :number] == tag[y, :number]).any(axis=1)
+                x, y = rep[x[first]], rep[y[first]]
+                found.append(np.unique(np.stack([np.maximum(x, y), np.minimum(x, y)]), axis=1))
+            pairs = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    return groups.select("members").mapInArrow(work, "a long, b long").distinct()
+    return groups.select("members", "number").mapInArrow(work, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -232,17 +272,18 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), id_column: str
     classes = found.where("n_shingles > 0 and doc_id is not null").groupBy("digest")
     classes = table(classes.agg(F.min("doc_id").alias("rep"), F.first("low").alias("low"), F.first("bands").alias("bands")), "classes")
 
-    rows = classes.select("rep", F.explode("bands").alias("band"))
+    rows = classes.select("rep", F.posexplode("bands").alias("number", "band"))
     hubs = rows.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub != last").select("band", "hub")
-    pairs = rows.join(hubs, "band").where("rep != hub").select("rep", "hub").distinct()
+    shared = table(rows.join(hubs, "band"), "buckets")
+    pairs = shared.where("rep != hub").select("rep", "hub").distinct()
     sides = classes.select("rep", "low"), classes.select(F.col("rep").alias("hub"), F.col("low").alias("hub_low"))
     rated = pairs.join(sides[0], "rep").join(sides[1], "hub").withColumn("matches", _matches("low", "hub_low"))
-    best = rated.where(F.col("matches") >= like.matches).groupBy("rep").agg(F.max(F.struct("matches", -F.col("hub"))).alias("m"))
+    best = rated.where(F.col("matches") >= like.matches()).groupBy("rep").agg(F.max(F.struct("matches", -F.col("hub"))).alias("m"))
     first = table(best.select(F.col("rep").alias("a"), (-F.col("m.col2")).alias("b")), "candidates")
     links = table(confirm(first, docs, like), "links")
     labels = components(links)
 
-    crossing = table(_crossing(classes, labels, like), "candidates")
+    crossing = table(_crossing(shared, classes, labels, docs, like), "candidates")
     if not crossing.isEmpty():
         labels = components(links.unionByName(confirm(crossing, docs, like)))
 
