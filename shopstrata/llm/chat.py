@@ -59,11 +59,12 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     leaves = levels[-1].join(replied, ["tree", "node"], "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), "node")
     chosen = leaves.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= top)
-    path = chosen.select("tree", F.col("node").alias("leaf"), "branch", (F.col("steps") - 1).alias("depth"), "node")
+    path = table(chosen.select("tree", F.col("node").alias("leaf"), "branch", (F.col("steps") - 1).alias("depth"), "node"), "paths")
     for k in reversed(range(len(levels) - 1)):
         reach = levels[k].where("above is not null").select("tree", "node", "above")
         more = path.join(reach, ["tree", "node"]).select("tree", "leaf", "branch", (F.col("depth") - (1 << k)).alias("depth"), F.col("above").alias("node"))
-        path = path.unionByName(more)
+        # A table each time: the plan of two to the power of k joins would outgrow the driver.
+        path = table(path.unionByName(more), "paths")
     return path
 
 
