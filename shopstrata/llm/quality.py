@@ -18,8 +18,8 @@ from .words import U, Words, byte_set, mixed, split
 
 BITS = 18
 SIZE = 1 << BITS
-#: At most so many labelled rows of each class are learnt from, those with the smallest hash of the id.
-SAMPLE = 4000
+#: At most so many labelled ids are learnt from, those with the smallest hash.
+SAMPLE = 8000
 SHARDS, EPOCHS = 4, 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 
@@ -85,10 +85,10 @@ class Leader:
         z, n = self.z[at], self.n[at]
         return np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
-    def learn(self, at: np.ndarray, x: np.ndarray, label: int, weight: float = 1.0) -> None:
+    def learn(self, at: np.ndarray, x: np.ndarray, label: int) -> None:
         w = self.weights(at)
         error = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label
-        g = weight * error * x
+        g = error * x
         n = self.n[at]
         self.z[at] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / ALPHA * w
         self.n[at] = n + g * g
@@ -112,12 +112,9 @@ def _train(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values(["rank", "label"], kind="stable")
     vectors = _vectors(pa.array(rows["text"], pa.string()))
     leader = Leader()
-    # Both classes count alike, however many rows either has.
-    share = np.bincount(rows["label"], minlength=2)
-    weight = len(rows) / (2 * np.maximum(share, 1))
     for _ in range(EPOCHS):
         for (at, x), label in zip(vectors, rows["label"]):
-            leader.learn(at, x, int(label), weight[int(label)])
+            leader.learn(at, x, int(label))
     return pd.DataFrame({"shard": rows["shard"].iloc[:1].to_numpy(), "weights": [leader.weights().astype("<f8").tobytes()], "n": [len(rows)]})
 
 
@@ -132,8 +129,8 @@ def fit(
 ) -> np.ndarray:
     """Weights learnt from rows of `docs` whose id `labels` marks 0 or 1 and that are not held out.
 
-    `sample` bounds the ids learnt from, for each class; they are the ones with the smallest hash, so the same at every
-    run. An id that is marked both ways is not used. Each of SHARDS tasks follows its own leader and their weights are
+    `sample` bounds the ids learnt from; they are the ones with the smallest hash, so the same at every run, with the
+    classes' natural shares, so that a short text is good unless something speaks against it. An id that is marked both ways is not used. Each of SHARDS tasks follows its own leader and their weights are
     averaged. Without labels all weights are 0 and every score is 0.5.
     """
     marked = (
@@ -143,9 +140,8 @@ def fit(
         .where("label = other")
         .select("doc_id", "label", F.xxhash64("doc_id").alias("rank"))
     )
-    chosen = [marked.where(F.col("label") == k).orderBy("rank", "doc_id").limit(sample) for k in (0, 1)]
-    # At most 2 * sample rows of three numbers: a proven bound for the broadcast.
-    chosen = F.broadcast(chosen[0].unionByName(chosen[1]))
+    # At most `sample` rows of three numbers: a proven bound for the broadcast.
+    chosen = F.broadcast(marked.orderBy("rank", "doc_id").limit(sample))
     rows = (
         docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
         .join(chosen, "doc_id")
