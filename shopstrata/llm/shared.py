@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SETTING = "spark.checkpoint.dir"
+from ..session import shared_dir
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir. A session without that setting (a test) gets a folder of its own."""
-    top = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if not top:
-        top = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set(_SETTING, top)
-    return f"{top.rstrip('/')}/llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A new path under spark.checkpoint.dir."""
+    return f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def table(df: DataFrame, name: str) -> DataFrame:

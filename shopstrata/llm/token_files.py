@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .batches import parts
 from .shared import folder, table
@@ -200,26 +200,29 @@ def read(files: DataFrame) -> DataFrame:
     return spread.mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def read_documents(spark: SparkSession, files: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The ids (doc_id, ids array<int>) of the documents `wanted` (doc_id): only their frames are decompressed.
+def read_documents(files: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The ids (doc_id, ids array<int>) of the documents `wanted` (doc_id); of the files only their frames are read.
 
-    `wanted` is a request of a reader; each file gets the whole request in blocks of at most REQUEST rows.
+    The files' indexes are joined with the request, so neither has to fit anywhere.
     """
-    ids = sorted({r[0] for r in wanted.select(F.col("doc_id").cast("long")).distinct().toLocalIterator() if r[0] is not None})
-    found = None
-    for at in range(0, max(1, len(ids)), REQUEST):
-        block = spark.sparkContext.broadcast(np.array(ids[at : at + REQUEST], np.int64))
-
-        def work(batches, block=block):
-            for batch in batches:
-                for path in batch.column("path").to_pylist():
-                    reader = Reader(path)
-                    for i in np.flatnonzero(np.isin(reader.doc_ids, block.value)):
-                        yield pa.RecordBatch.from_arrays([pa.array([int(reader.doc_ids[i])], pa.int64()), pa.array([reader.ids(i).astype(np.int32)], pa.list_(pa.int32()))], names=["doc_id", "ids"])
-
-        part = files.select("path").mapInArrow(work, "doc_id long, ids array<int>")
-        found = part if found is None else found.unionByName(part)
-    return found
 
+    def indexes(batches):
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                reader = Reader(path)
+                n = len(reader.doc_ids)
+                yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array(np.arange(n)), pa.array(reader.doc_ids, mask=reader.doc_ids == NO_ID)], names=["path", "number", "doc_id"])
 
-REQUEST = 1_000_000
+    def fetch(batches):
+        reader, at = None, None
+        for batch in batches:
+            for path, number, doc_id in zip(*(batch.column(c).to_pylist() for c in ("path", "number", "doc_id"))):
+                if path != at:
+                    reader, at = Reader(path), path
+                ids = pa.array([reader.ids(number).astype(np.int32)], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), ids], names=["doc_id", "ids"])
+
+    rows = files.select("path").mapInArrow(indexes, "path string, number long, doc_id long")
+    chosen = rows.join(wanted.select(F.col("doc_id").cast("long")).distinct(), "doc_id")
+    spread = chosen.select("path", "number", "doc_id").repartition("path").sortWithinPartitions("path", "number")
+    return spread.mapInArrow(fetch, "doc_id long, ids array<int>")

@@ -71,7 +71,7 @@ def test_files_round_trip(spark, monkeypatch):
         start += r.n_tokens
     assert not found
     wanted = spark.createDataFrame([(37,), (74,), (5000,)], "doc_id long")
-    assert {r.doc_id: r.ids for r in token_files.read_documents(spark, files, wanted).collect()} == {37: ids[37], 74: ids[74]}
+    assert {r.doc_id: r.ids for r in token_files.read_documents(files, wanted).collect()} == {37: ids[37], 74: ids[74]}
     assert token_files.read(token_files.write(docs.limit(0), WORDS)).count() == 0
 
 
