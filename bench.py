@@ -19,6 +19,9 @@ HEADLINE = [
     "sink_dim_upsert",
     "dwm_order_wide",
     "dwm_payment_wide",
+    "dwm_order_wide_shuffled",
+    "dwm_payment_wide_shuffled",
+    "join_dim_user_shuffled",
     "dws_visitor",
     "dws_product",
     "dws_province",
