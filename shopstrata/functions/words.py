@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Iterable
 
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A word is a run of letters and digits; a Han character, written without spaces, is a word of its own.
 WORD = r"\p{IsHan}|[\p{L}\p{N}&&[^\p{IsHan}]]+"
+# Some 500,000 words.
+LIST_BYTES = 64 << 20
 RUN = r"\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
 
 
@@ -28,9 +31,12 @@ def explode_words(df: DataFrame, phrase: str, word: str = "keyword", split=words
 def word_list_splitter(spark: SparkSession, known: Iterable[str]):
     """A `split` for `explode_words` that keeps known Han words whole (longest match first).
 
-    The list is a dictionary of the language, so its size does not grow with the data.
+    The list is a dictionary of the language, so its size does not grow with the data; more than LIST_BYTES is refused.
     """
-    vocabulary = spark.sparkContext.broadcast(frozenset(known))
+    known = frozenset(known)
+    if sum(map(sys.getsizeof, known)) > LIST_BYTES:
+        raise ValueError(f"a word list of more than {LIST_BYTES} bytes is no dictionary to send to every executor")
+    vocabulary = spark.sparkContext.broadcast(known)
     longest = max((len(w) for w in vocabulary.value), default=1)
 
     def cut(run: str) -> list[str]:

@@ -8,6 +8,7 @@ from ..functions.times import text_time
 from ..schemas import ORDER_WIDE, PAYMENT_WIDE
 from .joins import interval_join
 
+# Which columns of a wide row come from where.
 _FROM_ORDER = (
     "order_status create_time create_date create_hour activity_reduce_amount coupon_reduce_amount"
     " original_total_amount feight_fee total_amount province_id user_id"
@@ -21,7 +22,7 @@ _DIM_COLUMNS = (
 ).split()
 _UNSET = ["split_feight_fee", "expire_time", "operate_time"]
 
-# What an incomplete wide row takes from another row of the same order.
+# What an incomplete wide row takes from another row of the same order.
 FILLED_FROM_OTHER = (
     "order_status create_time create_date coupon_reduce_amount activity_reduce_amount original_total_amount"
     " feight_fee total_amount user_id sku_id sku_name order_price sku_num"

@@ -4,27 +4,18 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(16, 2)
 
-_TYPES = {
-    "string": T.StringType(),
-    "long": T.LongType(),
-    "int": T.IntegerType(),
-    "money": MONEY,
-}
+_TYPES = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "decimal(16,2)": MONEY}
 
 
-def _struct(**groups: str) -> T.StructType:
-    return T.StructType([T.StructField(n, _TYPES[t]) for t, names in groups.items() for n in names.split()])
+def _ddl(text: str) -> T.StructType:
+    """A struct from `name type` pairs; Spark's own reader of these needs a session."""
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in (pair.split() for pair in text.split(", "))])
 
 
-def _ordered(spec: str) -> T.StructType:
-    """Build a struct from `name:type` words, keeping their order (it is the order of the serving table)."""
-    fields = (word.partition(":") for word in spec.split())
-    return T.StructType([T.StructField(n, _TYPES[t or "string"]) for n, _, t in fields])
-
-
-COMMON = _struct(string="ar uid os ch is_new md mid vc ba")
-START = _ordered("entry loading_time:long open_ad_id:long open_ad_ms:long open_ad_skip_ms:long")
-PAGE = _ordered("page_id item item_type last_page_id during_time:long")
+# Names and order of the records' fields.
+COMMON = _ddl("ar string, uid string, os string, ch string, is_new string, md string, mid string, vc string, ba string")
+START = _ddl("entry string, loading_time long, open_ad_id long, open_ad_ms long, open_ad_skip_ms long")
+PAGE = _ddl("page_id string, item string, item_type string, last_page_id string, during_time long")
 DISPLAYS = T.ArrayType(T.StructType([T.StructField("item", T.StringType())]))
 
 APP_LOG = T.StructType([
@@ -79,43 +70,53 @@ CDC_ROWCHANGE = T.StructType([
     ]))),
 ])
 
-ROUTING = _struct(string="source_table operate_type sink_type sink_table sink_columns sink_pk sink_extend")
+ROUTING = _ddl(
+    "source_table string, operate_type string, sink_type string, sink_table string, sink_columns string, sink_pk "
+    "string, sink_extend string"
+)
 
-ORDER_INFO = _ordered(
-    "id:long province_id:long order_status user_id:long total_amount:money activity_reduce_amount:money"
-    " coupon_reduce_amount:money original_total_amount:money feight_fee:money expire_time create_time operate_time"
+ORDER_INFO = _ddl(
+    "id long, province_id long, order_status string, user_id long, total_amount decimal(16,2), "
+    "activity_reduce_amount decimal(16,2), coupon_reduce_amount decimal(16,2), original_total_amount "
+    "decimal(16,2), feight_fee decimal(16,2), expire_time string, create_time string, operate_time string"
 )
-ORDER_DETAIL = _ordered(
-    "id:long order_id:long sku_id:long order_price:money sku_num:long sku_name create_time"
-    " split_total_amount:money split_activity_amount:money split_coupon_amount:money"
+ORDER_DETAIL = _ddl(
+    "id long, order_id long, sku_id long, order_price decimal(16,2), sku_num long, sku_name string, create_time "
+    "string, split_total_amount decimal(16,2), split_activity_amount decimal(16,2), split_coupon_amount "
+    "decimal(16,2)"
 )
-PAYMENT_INFO = _ordered(
-    "id:long order_id:long user_id:long total_amount:money subject payment_type create_time callback_time"
+PAYMENT_INFO = _ddl(
+    "id long, order_id long, user_id long, total_amount decimal(16,2), subject string, payment_type string, "
+    "create_time string, callback_time string"
 )
-FAVOR_INFO = _ordered("sku_id:long create_time")
+FAVOR_INFO = _ddl("sku_id long, create_time string")
 CART_INFO = FAVOR_INFO
-REFUND_INFO = _ordered("sku_id:long order_id:long refund_amount:money create_time")
-COMMENT_INFO = _ordered("sku_id:long appraise create_time")
-
-ORDER_WIDE = _ordered(
-    "detail_id:long order_id:long sku_id:long order_price:money sku_num:long sku_name province_id:long order_status"
-    " user_id:long total_amount:money activity_reduce_amount:money coupon_reduce_amount:money"
-    " original_total_amount:money feight_fee:money split_feight_fee:money split_activity_amount:money"
-    " split_coupon_amount:money split_total_amount:money expire_time create_time operate_time create_date create_hour"
-    " province_name province_area_code province_iso_code province_3166_2_code user_age:int user_gender spu_id:long"
-    " tm_id:long category3_id:long spu_name tm_name category3_name"
+REFUND_INFO = _ddl("sku_id long, order_id long, refund_amount decimal(16,2), create_time string")
+COMMENT_INFO = _ddl("sku_id long, appraise string, create_time string")
+
+ORDER_WIDE = _ddl(
+    "detail_id long, order_id long, sku_id long, order_price decimal(16,2), sku_num long, sku_name string, "
+    "province_id long, order_status string, user_id long, total_amount decimal(16,2), activity_reduce_amount "
+    "decimal(16,2), coupon_reduce_amount decimal(16,2), original_total_amount decimal(16,2), feight_fee "
+    "decimal(16,2), split_feight_fee decimal(16,2), split_activity_amount decimal(16,2), split_coupon_amount "
+    "decimal(16,2), split_total_amount decimal(16,2), expire_time string, create_time string, operate_time "
+    "string, create_date string, create_hour string, province_name string, province_area_code string, "
+    "province_iso_code string, province_3166_2_code string, user_age int, user_gender string, spu_id long, tm_id "
+    "long, category3_id long, spu_name string, tm_name string, category3_name string"
 )
-PAYMENT_WIDE = _ordered(
-    "payment_id:long subject payment_type payment_create_time callback_time create_ts:long detail_id:long"
-    " order_id:long sku_id:long order_price:money sku_num:long sku_name province_id:long order_status user_id:long"
-    " total_amount:money activity_reduce_amount:money coupon_reduce_amount:money original_total_amount:money"
-    " feight_fee:money split_feight_fee:money split_activity_amount:money split_coupon_amount:money"
-    " split_total_amount:money order_create_time province_name province_area_code province_iso_code"
-    " province_3166_2_code user_age:int user_gender spu_id:long tm_id:long category3_id:long spu_name tm_name"
-    " category3_name"
+PAYMENT_WIDE = _ddl(
+    "payment_id long, subject string, payment_type string, payment_create_time string, callback_time string, "
+    "create_ts long, detail_id long, order_id long, sku_id long, order_price decimal(16,2), sku_num long, "
+    "sku_name string, province_id long, order_status string, user_id long, total_amount decimal(16,2), "
+    "activity_reduce_amount decimal(16,2), coupon_reduce_amount decimal(16,2), original_total_amount "
+    "decimal(16,2), feight_fee decimal(16,2), split_feight_fee decimal(16,2), split_activity_amount "
+    "decimal(16,2), split_coupon_amount decimal(16,2), split_total_amount decimal(16,2), order_create_time "
+    "string, province_name string, province_area_code string, province_iso_code string, province_3166_2_code "
+    "string, user_age int, user_gender string, spu_id long, tm_id long, category3_id long, spu_name string, "
+    "tm_name string, category3_name string"
 )
 
-# Column order of the serving tables.
+# Column order of the serving tables.
 VISITOR_STATS = "stt edt vc ch ar is_new uv_ct pv_ct sv_ct uj_ct dur_sum ts".split()
 PRODUCT_STATS = (
     "stt edt sku_id sku_name sku_price spu_id spu_name tm_id tm_name category3_id category3_name display_ct click_ct"
