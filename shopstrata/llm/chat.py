@@ -29,22 +29,28 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def _jumps(messages: DataFrame) -> list[DataFrame]:
-    """For each k who is 2^k steps above a message (null: beyond the root), and steps and score up to there."""
+def _jumps(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """For each k the messages that have one 2^k steps above them, with that one; and steps and score from each to its root.
+
+    A message whose root is reached takes no further part, so a round costs what is still on its way.
+    """
     up = messages.select("tree", "node", F.col("parent").alias("above"), F.col("score").alias("total"), F.lit(1).cast("long").alias("steps"))
     known = messages.select("tree", F.col("node").alias("above"), F.lit(True).alias("known"))
     up = up.join(known, ["tree", "above"], "left").withColumn("above", F.when(F.col("known"), F.col("above"))).drop("known")
-    levels, count = [], None
+    levels, done, count = [], None, None
     while True:
         up = table(up.select("tree", "node", "above", "total", "steps"), "jumps")
-        levels.append(up)
-        if up.where("above is not null").isEmpty():
-            return levels
+        on_its_way, ended = up.where("above is not null"), up.where("above is null")
+        if on_its_way.isEmpty():
+            return levels, ended if done is None else done.unionByName(ended)
+        levels.append(on_its_way)
         count = messages.count() if count is None else count
         if 1 << (len(levels) - 1) > count:
             raise ValueError("replies answer each other in a circle")
-        then = up.select("tree", F.col("node").alias("above"), F.col("above").alias("next"), F.col("total").alias("more"), F.col("steps").alias("on"))
-        up = up.join(then, ["tree", "above"], "left").select(
+        every = up if done is None else up.unionByName(done)
+        done = ended if done is None else done.unionByName(ended)
+        then = every.select("tree", F.col("node").alias("above"), F.col("above").alias("next"), F.col("total").alias("more"), F.col("steps").alias("on"))
+        up = on_its_way.join(then, ["tree", "above"], "left").select(
             "tree", "node", F.col("next").alias("above"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("steps") + F.coalesce("on", F.lit(0))).alias("steps")
         )
 
@@ -54,14 +60,14 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
 
     messages: tree, node (unique in its tree), parent (null or unknown: a root), score. Equal scores are ranked by node.
     """
-    levels = _jumps(messages)
+    levels, ended = _jumps(messages)
     replied = messages.select("tree", F.col("parent").alias("node")).distinct()
-    leaves = levels[-1].join(replied, ["tree", "node"], "left_anti")
+    leaves = ended.join(replied, ["tree", "node"], "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), "node")
     chosen = leaves.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= top)
     path = table(chosen.select("tree", F.col("node").alias("leaf"), "branch", (F.col("steps") - 1).alias("depth"), "node"), "paths")
-    for k in reversed(range(len(levels) - 1)):
-        reach = levels[k].where("above is not null").select("tree", "node", "above")
+    for k in reversed(range(len(levels))):
+        reach = levels[k].select("tree", "node", "above")
         more = path.join(reach, ["tree", "node"]).select("tree", "leaf", "branch", (F.col("depth") - (1 << k)).alias("depth"), F.col("above").alias("node"))
         # A table each time: the plan of two to the power of k joins would outgrow the driver.
         path = table(path.unionByName(more), "paths")
