@@ -7,8 +7,8 @@
 
 Texts with the same set are one class from the start. Within a band's bucket each class is first compared with the smallest
 one only, by its best such estimate. Components of these links make most buckets one component. Classes in the others get
-1024 minima; all pairs of different components in a bucket are estimated from these, block by block, and the few that are
-near the threshold are confirmed. So every pair that shares a bucket ends in one component or has been compared, and groups
+1024 minima, and are compared block by block by estimates from these, across components only: first each one's best other is
+confirmed, which joins most of what is left, then all others that are near the threshold. So every pair that shares a bucket ends in one component or has been compared, and groups
 of copies never expand into their pairs.
 """
 
@@ -203,11 +203,8 @@ def _wide(docs: DataFrame, like: Likeness) -> DataFrame:
     return docs.mapInArrow(work, "rep long, wide array<long>")
 
 
-def _crossing(shared: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of classes of different components that share a bucket and could be alike.
-
-    shared: the rows (band, number, rep) of buckets with several classes.
-    """
+def _mixed_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of the buckets (band, number, rep) those with several components, with the largest one and numbers of blocks."""
     rows = shared.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "rep", F.coalesce("component", "rep").alias("component"), "band", "number"
     )
@@ -216,11 +213,21 @@ def _crossing(shared: DataFrame, classes: DataFrame, labels: DataFrame, docs: Da
     mixed_ = counts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n")).where("top.n < n")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     mixed_ = mixed_.select("band", F.col("top.component").alias("top"), blocks(F.col("top.n")).alias("tops"), blocks(F.col("n") - F.col("top.n")).alias("others"))
-    rows = table(rows.join(mixed_, "band"), "mixed-buckets")
+    return table(rows.join(mixed_, "band"), "mixed-buckets")
+
+
+def _wide_sketches(rows: DataFrame, classes: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
+    """Wide sketches of the buckets' members, and 32 bits of each of their bands to tell a pair's first one by."""
     ids = table(rows.select(F.col("rep").alias("doc_id")).distinct(), "ids")
-    # Beside the wide sketch a member carries 32 bits of each of its bands, so that a pair is given by its first one only.
     tags = classes.select("rep", F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("tags"))
-    sketch = table(_wide(_only(docs, ids), like).join(tags, "rep"), "wide-sketches")
+    return table(_wide(_only(docs, ids), like).join(tags, "rep"), "wide-sketches")
+
+
+def _crossing(rows: DataFrame, sketch: DataFrame, like: Likeness, best: bool) -> DataFrame:
+    """Pairs of classes of different components that share a bucket and could be alike.
+
+    rows: those of `_mixed_buckets`. best: of each member's pairs in a bucket only the one of the best estimate.
+    """
     in_top = F.col("component") == F.col("top")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.when(in_top, F.col("tops")).otherwise(F.col("others"))).cast("int"))
     # side: 1 for the left of a comparison, 2 for the right, 3 for both.
@@ -246,12 +253,21 @@ def _crossing(shared: DataFrame, classes: DataFrame, labels: DataFrame, docs: Da
                 rep, component, side = (members.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "component", "side"))
                 wide, tag = (members.field(c).flatten().to_numpy(zero_copy_only=False).reshape(len(rep), -1) for c in ("wide", "tags"))
                 left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
-                good = component[left][:, None] != component[right][None, :]
-                good &= equal_bits(wide[left].view(U), wide[right].view(U)) >= least
-                x, y = np.nonzero(good)
-                x, y = left[x], right[y]
-                first = ~(tag[x, :number] == tag[y, :number]).any(axis=1)
-                x, y = rep[x[first]], rep[y[first]]
+                if not (len(left) and len(right)):
+                    continue
+                equal = equal_bits(wide[left].view(U), wide[right].view(U))
+                equal[component[left][:, None] == component[right][None, :]] = -1
+                if best:
+                    x, y = np.arange(len(left)), equal.argmax(axis=1)
+                    x, y = np.append(x, equal.argmax(axis=0)), np.append(y, np.arange(len(right)))
+                    good = equal[x, y] >= least
+                    x, y = left[x[good]], right[y[good]]
+                else:
+                    x, y = np.nonzero(equal >= least)
+                    x, y = left[x], right[y]
+                    first = ~(tag[x, :number] == tag[y, :number]).any(axis=1)
+                    x, y = x[first], y[first]
+                x, y = rep[x], rep[y]
                 found.append(np.unique(np.stack([np.maximum(x, y), np.minimum(x, y)]), axis=1))
             pairs = np.concatenate(found, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
@@ -283,9 +299,16 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), id_column: str
     links = table(confirm(first, docs, like), "links")
     labels = components(links)
 
-    crossing = table(_crossing(shared, classes, labels, docs, like), "candidates")
-    if not crossing.isEmpty():
-        labels = components(links.unionByName(confirm(crossing, docs, like)))
+    sketch = None
+    for best_only in (True, False):
+        buckets = _mixed_buckets(shared, labels)
+        # Components only grow, so the members of later rounds are among those of the first.
+        sketch = _wide_sketches(buckets, classes, docs, like) if sketch is None else sketch
+        crossing = table(_crossing(buckets, sketch, like, best_only), "candidates")
+        if crossing.isEmpty():
+            break
+        links = table(links.unionByName(confirm(crossing, docs, like)), "links")
+        labels = components(links)
 
     named = classes.select("digest", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("digest", F.coalesce("component", "rep").alias("component_id"))
