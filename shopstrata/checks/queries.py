@@ -511,14 +511,14 @@ _SERVED: dict[tuple[str, str], str] = {}
 
 
 def _order_stats(spark, folder) -> DataFrame:
-    """The product statistics as they are served, by day; written once for all reports of a session."""
+    """The day's product statistics as they are served; the table is written once for all reports of a session."""
     key = spark.sparkContext.applicationId, folder
     if key not in _SERVED:
         root = f"{shared_dir(spark)}/serving-{uuid.uuid4().hex}"
         rows = layers.product_stats(stats.ordered(bare_order_wide(spark, folder)), dimensions(spark, folder))
         sinks.serving_folder(root)(PRODUCT_TABLE, PRODUCT_STATS)(rows, 0)
         _SERVED[key] = f"{root}/{PRODUCT_TABLE}"
-    return spark.read.parquet(_SERVED[key])
+    return sinks.read_day(spark, _SERVED[key], REPORT_DAY.isoformat())
 
 
 @query
