@@ -7,7 +7,7 @@
 
 Texts with the same set are one class from the start. Within a band's bucket each class is first compared with the smallest
 one only, by its best such estimate. Components of these links make most buckets one component. Classes in the others get
-1024 minima, and are compared block by block by estimates from these, across components only: first each one's best other is
+2048 minima, and are compared block by block by estimates from these, across components only: first each one's best other is
 confirmed, which joins most of what is left, then all others that are near the threshold. So every pair that shares a bucket ends in one component or has been compared, and groups
 of copies never expand into their pairs.
 """
@@ -27,7 +27,7 @@ from .components import components
 from .shared import table
 from .words import U, VISIBLE, mixed, split, windows
 
-HASHES, WIDE, BITS = 128, 1024, 4
+HASHES, WIDE, BITS = 128, 2048, 4
 #: A pair at the threshold shares no band with at most this probability.
 MISSED = 1e-6
 #: Members of a bucket that are compared with each other at once, and texts that are confirmed beside one.
