@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 Maker = Callable[[], Callable[[pa.Array], list[pa.Array]]]
 
 #: Bytes of text that are handled at once; one longer text is handled alone.
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 
 
 def lengths(texts: pa.Array) -> np.ndarray:

@@ -196,9 +196,11 @@ def _wide(docs: DataFrame, like: Likeness) -> DataFrame:
             for part in parts(batch, "text"):
                 found = sets(part.column("text"), like.size)
                 full = [i for i, x in enumerate(found) if len(x)]
-                if full:
-                    low = low_bits(minima([found[i] for i in full], WIDE))
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(full)), _lists(low)], names=["rep", "wide"])
+                # Few texts at a time: their minima take 16 KB each, and packing them a multiple of that.
+                for at in range(0, len(full), 256):
+                    some = full[at : at + 256]
+                    low = low_bits(minima([found[i] for i in some], WIDE))
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(some)), _lists(low)], names=["rep", "wide"])
 
     return docs.mapInArrow(work, "rep long, wide array<long>")
 
