@@ -1,8 +1,8 @@
 """License scans: winnowed fingerprints find candidate places, banded alignment measures them.
 
 Templates and texts are words (lower case, without punctuation). A fingerprint is the hash of GRAM consecutive words; of
-each RUN consecutive fingerprints the smallest is kept, so GRAM + RUN - 1 words in common always share one. The templates'
-fingerprints are an inverted index. Hits of a template on nearby diagonals are one candidate, aligned within a band around
+each RUN consecutive fingerprints the smallest is kept, so GRAM + RUN - 1 words in common always share one. Templates of
+fewer words are looked up at every word of a text. The templates' fingerprints are an inverted index. Hits of a template on nearby diagonals are one candidate, aligned within a band around
 them. What is matched by enough of a template's words is reported; of overlapping matches the best one.
 """
 
@@ -96,7 +96,11 @@ class Index:
         self.coverage = coverage
         words = split(pa.array([t for texts in templates.values() for t in texts], pa.string()), LETTERS)
         self.words = [words.hash[a:b] for a, b in zip(words.first, words.first[1:])]
+        # Winnowing may keep none of the fingerprints of a few words.
+        self.few = [t for t, own in enumerate(self.words) if 0 < len(own) < GRAM + RUN - 1]
         hashes, begin = winnowed(words)
+        enough = words.counts[np.searchsorted(words.first, begin, "right") - 1] >= GRAM + RUN - 1
+        hashes, begin = hashes[enough], begin[enough]
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
         self.template = (np.searchsorted(words.first, begin, "right") - 1)[order]
@@ -111,8 +115,9 @@ class Index:
         low, high = np.searchsorted(self.hashes, hashes), np.searchsorted(self.hashes, hashes, "right")
         hit = _ranges(low, high - low)
         at = np.repeat(begin, high - low)
-        if not len(hit):
-            return []
+        found: dict[int, list[Match]] = {}
+        for i, match in self._few_words(words):
+            found.setdefault(i, []).append(match)
         text = np.searchsorted(words.first, at, "right") - 1
         template, diagonal = self.template[hit], at - self.place[hit]
         order = np.lexsort((diagonal, template, text))
@@ -121,8 +126,7 @@ class Index:
         new = np.ones(len(text), bool)
         new[1:] = (text[1:] != text[:-1]) | (template[1:] != template[:-1]) | (diagonal[1:] - diagonal[:-1] > band[1:])
         heads = np.flatnonzero(new)
-        tails = np.append(heads[1:], len(text)) - 1
-        found: dict[int, list[Match]] = {}
+        tails = np.append(heads[1:], len(text))[: len(heads)] - 1
         for a, b in zip(heads.tolist(), tails.tolist()):
             i, t = int(text[a]), int(template[a])
             start, stop = int(words.first[i]), int(words.first[i + 1])
@@ -138,6 +142,20 @@ class Index:
             out += [(i, m) for m in sorted(taken, key=lambda m: m.begin)]
         return out
 
+    def _few_words(self, words: Words) -> list[tuple[int, Match]]:
+        """Every occurrence of the templates that have too few words to be winnowed; these are matched whole."""
+        out = []
+        for t in self.few:
+            own = self.words[t]
+            at = np.flatnonzero(words.hash[: max(0, len(words.hash) - len(own) + 1)] == own[0])
+            for k in range(1, len(own)):
+                at = at[words.hash[at + k] == own[k]]
+            text = np.searchsorted(words.first, at, "right") - 1
+            whole = at + len(own) <= words.first[text + 1]
+            for i, a in zip(text[whole].tolist(), (at - words.first[text])[whole].tolist()):
+                out.append((i, Match(self.names[t], a, a + len(own), 1.0, len(own))))
+        return out
+
     def _align(self, text: np.ndarray, t: int, low: int, high: int, start: int, stop: int) -> Match | None:
         """Align a whole template with some part of the text, within the band around diagonals low to high.
 

@@ -176,6 +176,22 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_each_template_is_found_inside_a_text():
+    rnd = random.Random(11)
+    few = {"One": ["Copyleft"], "Two": ["Public domain."], "Three": ["No rights reserved."]}
+    for templates in (licenses.TEMPLATES, few):
+        index = licenses.Index(templates)
+        for name, notices in templates.items():
+            for notice in notices:
+                texts = [" ".join([*(f"w{rnd.randrange(10**9)}" for _ in range(9)), notice, *(f"w{rnd.randrange(10**9)}" for _ in range(9))]) for _ in range(12)]
+                found = index.matches(split(pa.array([notice, *texts]), LETTERS))
+                assert [(i, m.license) for i, m in found] == [(i, name) for i in range(13)], notice
+    twice = licenses.Index(few).matches(split(pa.array(["copyleft copyleft", "public domain public domain"]), LETTERS))
+    assert [(i, m.begin, m.end) for i, m in twice] == [(0, 0, 1), (0, 1, 2), (1, 0, 2), (1, 2, 4)]
+    # Words of one text and the next are no notice.
+    assert licenses.Index(few).matches(split(pa.array(["public", "domain", "no rights", "reserved"]), LETTERS)) == []
+
+
 def test_alignment_is_the_longest_common_sequence():
     rnd = random.Random(10)
     for _ in range(60):
