@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import pyarrow as pa
@@ -26,9 +26,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: Contexts of the guess-cost scan: more names, and values with any visible characters.
 CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api_?key|auth(?:orization)?|bearer|credentials?|(?:private|access|client|signing)_?(?:key|secret))"""
-    r"""["']?\x20*[:=]\x20*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"',;<>]+))""",
+    r"""["']?\x20*[:=]\x20*""",
     re.I | re.A,
 )
+#: A scheme may stand between a context and its value, as in `Authorization: Bearer ...`.
+SCHEME = re.compile(r"(?:bearer|basic|token|negotiate|api_?key|jwt)\x20+", re.I | re.A)
+QUOTED, BARE = re.compile(r"""\"([^"\n]+)"|'([^'\n]+)'""", re.A), re.compile(r"""[^\s"',;<>]+""", re.A)
 #: A value is a secret from so many guesses (as a power of two) on.
 LEAST_BITS = 40.0
 #: Common parts of passwords, the most common first; a longer list can be given.
@@ -122,15 +125,55 @@ class Scanner:
     def __init__(self, words: Iterable[str] = WORDS, least_bits: float = LEAST_BITS):
         self.guesses, self.least_bits = Guesses(words), least_bits
 
+    def _values(self, text: str) -> Iterator[tuple[int, int]]:
+        """Secrets in a credential's context. A value that is none may itself begin with a context or hold one."""
+        at = bare = 0  # bare: the end of the last unquoted value
+        last: dict[str, int] = {}  # where the values within that one begin, by the context before them
+        cheap: list[tuple[int, int, int]] = []  # repeats in it (begin, period, end) within which no value is a secret
+        while head := CONTEXT.search(text, at):
+            a = head.end()
+            scheme = SCHEME.match(text, a)
+            for a in (scheme.end(), a) if scheme else (a,):
+                quoted = QUOTED.match(text, a)
+                if quoted or a < bare or BARE.match(text, a):
+                    break
+            else:
+                at = head.end()
+                continue
+            if quoted:
+                a, b = quoted.span(1 if quoted[1] is not None else 2)
+            elif a < bare:
+                b = bare
+            else:
+                b = bare = BARE.match(text, a).end()
+                last, cheap = {}, []
+            if not quoted:
+                name = text[head.start() : a]
+                begin, last[name] = last.get(name), a
+                if any((a - x) % period == 0 and a < y for x, period, y in cheap):
+                    at = a
+                    continue
+                if begin is not None and text.startswith(unit := text[begin:a], a):
+                    end, times = a + len(unit), 2
+                    while end + len(unit) <= b and text.startswith(unit, end):
+                        end, times = end + len(unit), times + 1
+                    # A value that begins at one of the units is at most one unit, its repeats and the rest.
+                    if end <= b and self.guesses.cost(unit) + math.log2(times) + self.guesses.cost(text[end:b]) < self.least_bits:
+                        cheap.append((begin, len(unit), end))
+                        at = a
+                        continue
+            if self.guesses.cost(text[a:b]) >= self.least_bits:
+                yield a, b
+                at = b
+            else:
+                at = a
+
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(start, number of the kind, end) of all secrets, in code points, ordered by start and kind."""
         found = []
         if ":" in text or "=" in text:
             found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
-            for m in CONTEXT.finditer(text):
-                a, b = next(m.span(k) for k in (1, 2, 3) if m[k] is not None)
-                if self.guesses.cost(text[a:b]) >= self.least_bits:
-                    found.append((a, 3, b))
+            found += [(a, 3, b) for a, b in self._values(text)]
         if "AKIA" in text:
             found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]

@@ -134,6 +134,18 @@ def test_secrets(spark):
     assert secrets.scan(docs.limit(0)).count() == 0
 
 
+def test_values_behind_schemes_and_nested_contexts():
+    secret, scanner = "Zx!9-kQ7vR2#mP4w", secrets.Scanner()
+    before = ["Authorization: Bearer ", "authorization=Basic ", "'auth': Token ", "credentials: pwd: ", "credentials:pwd=", "token: token: ", "secret=" * 40, 'Authorization: Bearer "',
+              "password: hello secret: ", 'pwd: "my pwd: ']
+    for x in before:
+        text = f"{x}{secret}\" and {secret}"
+        spans = [(a, b) for a, k, b in scanner.spans(text) if k == 3]
+        assert spans and secret in text[spans[0][0] : spans[-1][1]] and secrets.redacted(text, scanner.spans(text)).count(secret) <= 1, x
+    for text in ("Authorization: Bearer", "Authorization: Bearer \n x", "token: token secret", "credentials: pwd: changeme", "pwd: 'pwd: hello", "secret=" * 2_000):
+        assert [x for x in scanner.spans(text) if x[1] == 3] == [], text[:50]
+
+
 def test_guess_costs_are_the_least_over_all_cuts():
     """Against a search over all cuts into single characters, known words and repeats of the part before."""
     guesses = secrets.Guesses()
