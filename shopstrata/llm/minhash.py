@@ -1,6 +1,6 @@
 """Near duplicates by b-bit MinHash.
 
-1. A text's set of word shingles gives 128 minima. Bands of them find candidates; of each minimum only the low 4 bits are
+1. A text's set of word shingles gives 128 minima. Bands of them find candidates; of each minimum, scrambled, only the low 4 bits are
    kept, 16 to a 64-bit number, and equal ones are counted by xor and bit counts. Corrected for chance (1/16) that count
    estimates the similarity; pairs that are five standard deviations below the threshold are dropped.
 2. Candidates that are left are confirmed on the full sets.
@@ -84,8 +84,11 @@ def minima(found: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
 
 
 def low_bits(minima_: np.ndarray) -> np.ndarray:
-    """The minima's low bits, packed."""
-    low = (minima_ & U((1 << BITS) - 1)).reshape(len(minima_), -1, 64 // BITS)
+    """The low bits of the scrambled minima, packed.
+
+    A minimum's own low bits depend on its element's low bits alone, so that two elements would agree in all minima or none.
+    """
+    low = (mixed(minima_) & U((1 << BITS) - 1)).reshape(len(minima_), -1, 64 // BITS)
     return np.bitwise_or.reduce(low << (np.arange(64 // BITS, dtype=U) * U(BITS)), axis=2)
 
 

@@ -155,6 +155,13 @@ def test_tables_keep_the_loss_at_any_size():
         assert (1 - (1 - math.acos(0.93) / math.pi) ** bits) ** tables <= embeddings.MISSED
 
 
+def test_low_bits_of_different_elements_agree_by_chance():
+    one, other = (np.array([x], np.uint64) for x in (0x1230, 0x9871))
+    for a, b in ((one, other), (one, one + np.uint64(16))):
+        low = minhash.low_bits(minhash.minima([a, b], minhash.WIDE))
+        assert abs(minhash.equal_bits(low[:1], low[1:])[0, 0] - minhash.WIDE / 16) < 60
+
+
 # Licenses
 
 
