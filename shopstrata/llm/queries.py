@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, embeddings, licenses, minhash, packing, quality, secrets, token_counts, token_files
+from . import chat, decontaminate, embeddings, fingerprints, licenses, minhash, packing, quality, secrets, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,10 +42,10 @@ def op3_embeddings(spark, sf_dir):
     return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.93)
 
 
-_FINITE = "len(list_filter(e, x -> x is null or not isfinite(x))) = 0 and len(list_filter(e, x -> x != 0)) > 0"
+_FINITE = "len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x != 0)) > 0"
 ORACLE["op3_embeddings"] = f"""
 with recursive vectors as materialized (
-  select vec_id, label, e, sqrt(list_sum(list_transform(e, x -> x * x))) as size
+  select vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) as size
   from (select vec_id, label, cast(embedding as double[]) as e from embeddings)
   where label is not null and e is not null and {_FINITE}
 ),
@@ -196,3 +196,16 @@ def op9_licenses(spark, sf_dir):
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path(BYTES_50K), end_id=2, capacity=1024)
+
+
+@query
+def op11_fingerprints(spark, sf_dir):
+    pairs = fingerprints.edited(documents(spark, sf_dir))
+    own, other, after = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    found = pairs.select(
+        "doc_id", "copies", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(own).alias("fingerprint"), fingerprints.as_text(other).alias("edited_fingerprint"),
+        fingerprints.resemblance(own, other).alias("near_edited"), fingerprints.resemblance(own, after).alias("near_next"),
+        fingerprints.containment(own, other).alias("kept_in_edited"), fingerprints.distinct_shingles(own).alias("n_shingles"),
+    )
+    return fingerprints.repeated(found)
