@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, embeddings, fingerprints, licenses, minhash, packing, quality, secrets, token_counts, token_files
+from . import chat, codes, decontaminate, embeddings, fingerprints, licenses, minhash, packing, quality, secrets, token_counts, token_files, tries
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -209,3 +209,89 @@ def op11_fingerprints(spark, sf_dir):
         fingerprints.containment(own, other).alias("kept_in_edited"), fingerprints.distinct_shingles(own).alias("n_shingles"),
     )
     return fingerprints.repeated(found)
+
+
+FAMILY, SHARED_TURNS = 20, 3
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    lists = tries.turn_lists(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    found = tries.nodes(tries.paths(tries.with_shared_starts(lists, FAMILY, SHARED_TURNS)))
+    return found.select(
+        F.col("conv").alias("conv_id"), F.col("depth").cast("long").alias("depth"), F.col("parent_conv").alias("parent_conv_id"),
+        F.col("n").alias("n_convs"), F.col("kids").alias("n_children"), F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"), "ends_sha256",
+    )
+
+
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda s: ord(s)::bigint)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, k: xor(x >> 1, 3988292384::bigint * (x & 1)))), 4294967295::bigint)"""
+ORACLE["op12_prefix_trie"] = f"""
+with said as materialized (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as turn,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as words
+  from conversations where conv_id is not null
+),
+ids as (select c, c - c % {FAMILY} as base, {_CRC32} % {SHARED_TURNS + 1} as h from (select distinct c from said)),
+rebuilt as (
+  select ids.c, 0 as own, i, turn, words from ids join said on said.c = base where i <= h
+  union all select ids.c, 1, i, turn, words from ids join said on said.c = ids.c where i > h
+),
+placed as (select c, row_number() over (partition by c order by own, i) as d, turn, words from rebuilt),
+prefixes as materialized (
+  select c, d, words, string_agg(turn, '') over (partition by c order by d rows unbounded preceding) as path from placed
+  union all select c, 0, 0, '' from ids
+),
+nodes as materialized (select d, path, min(c) as c, count(*) as n, any_value(words) as words from prefixes group by d, path),
+inner_nodes as (select substr(path, 1, 64 * (d - 1)) as path, count(*) as kids from nodes where d > 0 group by 1),
+marked as (select nodes.*, coalesce(kids, 0) as kids from nodes left join inner_nodes using (path)),
+subtrees as (
+  select substr(path, 1, 64 * g) as path, count(*) filter (kids = 0) as leaves, sum((n - 1) * words) as saved
+  from (select *, unnest(range(0, d + 1)) as g from marked) group by 1
+),
+ends as (select path, string_agg(c::varchar, ',' order by c) as listed from (select c, arg_max(path, d) as path from prefixes group by c) group by path)
+select m.c as conv_id, m.d as depth, p.c as parent_conv_id, m.n as n_convs, m.kids as n_children, leaves as n_leaves,
+  cast(saved as bigint) as saved_tokens, sha256(coalesce(listed, '')) as ends_sha256
+from marked m join subtrees using (path) left join ends using (path)
+left join nodes p on m.d > 0 and p.d = m.d - 1 and p.path = substr(m.path, 1, 64 * (m.d - 1))
+"""
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    found = codes.compressed(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _codes_sql() -> str:
+    ctes = [
+        f"""vectors as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: floor({codes.SCALE} * x::double)::bigint) as v, len(embedding) // {codes.PARTS} as w
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+)""",
+        f"parts as materialized (select vec_id, label, p, v[p * w + 1 : (p + 1) * w] as v from vectors, range({codes.PARTS}) t(p))",
+        f"book0 as materialized (select p, dense_rank() over (order by vec_id) - 1 as k, v as c from parts where vec_id in (select vec_id from vectors order by vec_id limit {codes.ENTRIES}))",
+    ]
+    for i in range(codes.ROUNDS + 1):
+        ctes.append(f"""near{i} as materialized (
+  select vec_id, label, p, v, best.d as d, best.k as k from (
+    select vec_id, label, p, v, min({{'d': list_sum(list_transform(list_zip(v, c), lambda t: (t[1] - t[2]) * (t[1] - t[2])))::bigint, 'k': k}}) as best
+    from parts join book{i} using (p) group by all)
+)""")
+        if i < codes.ROUNDS:
+            ctes.append(f"""book{i + 1} as materialized (
+  select p, k, coalesce(n.c, o.c) as c from book{i} o left join (
+    select p, k, list((s - (((s % n) + n) % n)) // n order by j) as c
+    from (select p, k, j, sum(v[j])::bigint as s, count(*) as n from (select p, k, v, unnest(range(1, len(v) + 1)) as j from near{i}) group by all)
+    group by p, k) n using (p, k)
+)""")
+    return f"""with {', '.join(ctes)},
+coded as (select vec_id, label, string_agg(lpad(lower(to_hex(k)), 2, '0'), '' order by p) as code, sum(d)::bigint as error from near{codes.ROUNDS} group by vec_id, label)
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error,
+  (select sha256(string_agg(array_to_string(c, ','), ',' order by p, k)) from book{codes.ROUNDS}) as codebooks_sha256
+from coded"""
+
+
+ORACLE["op13_vector_codes"] = _codes_sql()

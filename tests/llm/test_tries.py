@@ -1,0 +1,98 @@
+"""The prefix trie against a dictionary of all prefixes."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+from shopstrata.llm import tries
+
+
+def rebuilt(rows, family=20, longest=3):
+    said = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            said.setdefault(c, []).append((turn is not None, turn or 0, role or "", tries_digest(role, text), text or ""))
+    said = {c: [(r[2], r[4]) for r in sorted(x)] for c, x in said.items()}
+    out = {}
+    for c, own in said.items():
+        h = zlib.crc32(str(c).encode()) % (longest + 1)
+        base = int(c - (abs(c) % family) * (1 if c >= 0 else -1))
+        out[c] = said.get(base, [])[:h] + own[h:]
+    return out
+
+
+def tries_digest(role, text):
+    return hashlib.sha256(f"{len(role or '')}:{role or ''}{text or ''}".encode()).digest()
+
+
+def trie(convs):
+    members, ends = {}, {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+        ends.setdefault(tuple(turns), []).append(c)
+    kids = {}
+    for path in members:
+        if path:
+            kids.setdefault(path[:-1], []).append(path)
+
+    def below(path):
+        return [path] + [x for k in kids.get(path, []) for x in below(k)]
+
+    words = lambda path: len(re.findall(r"[^\x20\x09-\x0D]+", path[-1][1])) if path else 0
+    rows = []
+    for path, cs in members.items():
+        sub = below(path)
+        listed = ",".join(map(str, sorted(ends.get(path, []))))
+        rows.append((
+            min(cs), len(path), min(members[path[:-1]]) if path else None, len(cs), len(kids.get(path, [])),
+            sum(not kids.get(p) for p in sub), sum((len(members[p]) - 1) * words(p) for p in sub), hashlib.sha256(listed.encode()).hexdigest(),
+        ))
+    return sorted(rows, key=repr)
+
+
+def found(df):
+    lists = tries.with_shared_starts(tries.turn_lists(df), 20, 3)
+    return sorted(((r.conv, r.depth, r.parent_conv, r.n, r.kids, r.leaves, r.saved, r.ends_sha256) for r in tries.nodes(tries.paths(lists)).collect()), key=repr)
+
+
+FIELDS = "conv_id long, turn long, role string, text string, `path` string, n int"
+
+
+def strange():
+    rnd = random.Random(8)
+    say = lambda: rnd.choice([("user", "hi there"), ("user", "a b  c"), ("assistant", "ok"), (None, None), ("", "x\ny")])
+    rows = [(c, t, *say()) for c in range(70) for t in range(rnd.randrange(1, 6))]
+    rows += [(100, t, "user", f"deep {t}") for t in range(90)] + [(101, t, "user", f"deep {t}") for t in range(70)] + [(120, t, "user", f"deep {t}") for t in range(30)]
+    rows += [(140 + i, t, "user", "alike") for i in range(25) for t in (0, 1)]
+    rows += [(-7, None, "user", "null first"), (-7, 0, "user", "then"), (-7, 0, "user", "then"), (-7, 0, "user", "tie"), (None, 1, "user", "nobody's")]
+    rows += [(23, 9, "user", " \t "), (2**62, 0, "assistant", "long " * 50_000), (3, None, None, None)]
+    rnd.shuffle(rows)
+    return [(*r, "p", 1) for r in rows]
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 600, 1])
+def test_trie(spark, monkeypatch, limit):
+    monkeypatch.setattr(tries, "GROUP_BYTES", limit)
+    rows = strange() if limit > 1 else [r for r in strange() if r[0] not in (100, 101, 120)]
+    assert found(spark.createDataFrame(rows, FIELDS)) == trie(rebuilt([r[:4] for r in rows]))
+
+
+def test_no_conversation_and_no_turns(spark):
+    assert found(spark.createDataFrame([], FIELDS)) == []
+    # h of 21 is not 0: its base is absent and its own turn is taken, so it ends at the root.
+    c = next(c for c in range(21, 40) if zlib.crc32(str(c).encode()) % 4)
+    rows = [(c, 0, "user", "gone", "", 0)]
+    assert found(spark.createDataFrame(rows, FIELDS)) == trie({c: []})
+
+
+def test_peeled_rows_of_one_group_match_levels():
+    path = lambda *keys: b"".join(bytes([k]) * tries.DIGEST + (k).to_bytes(4, "big") for k in keys)
+    rows = [[path(1, 2, 3), 2, 5, 0, 0, 0], [path(1, 2), 1, 4, 0, 0, 0], [path(1, 2), 3, 9, 2, 2, 7]]
+    out = tries._peeled(rows, 1)
+    assert (3, b"\3" * 16, b"\2" * 16, None, 2, 5, 0, 1, 3) in out
+    assert (2, b"\2" * 16, b"\1" * 16, None, 6, 4, 3, 3, 3 + 7 + 5 * 2) in out
+    assert (None, None, None, path(1), 6, 4, 1, 3, 20) in out and len(out) == 3
