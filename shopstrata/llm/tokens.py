@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 import regex
 
-from .words import U, _ranges, mixed
+from .words import U, _ranges, hash_long, mixed
 
 LETTER, NUMBER, SPACE, OTHER, END = 1, 2, 3, 0, 4
 #: Distinct pre-tokens that a worker remembers before it starts anew.
@@ -42,12 +42,16 @@ def _classes() -> np.ndarray:
     return out
 
 
+#: Hashes of pre-tokens live in one worker, so each worker draws its own: nobody can write two that meet.
+_SECRET = int.from_bytes(os.urandom(8), "little")
+
+
 @cache
 def _codes() -> np.ndarray:
-    return mixed(np.arange(1, 0x110001, dtype=U))
+    return mixed(np.arange(1, 0x110001, dtype=U) ^ U(_SECRET))
 
 
-_BASE = U(0xC2B2AE3D27D4EB4F)
+_BASE = U(_SECRET | 1)
 _UNBASE = U(pow(int(_BASE), -1, 1 << 64))
 
 
@@ -104,6 +108,7 @@ class Cut:
             up, down = _powers(bits) if bits <= 22 else _powers.__wrapped__(bits)
             sums = np.concatenate([[U(0)], np.cumsum(_codes()[cp] * up[: len(cp)])])
             self.hash = mixed((sums[self.end] - sums[self.begin]) * down[self.begin])
+        hash_long(self.hash, cp, self.begin, self.end, _SECRET)
         self.first = np.concatenate([[0], np.searchsorted(self.begin, ends)])
 
     @staticmethod

@@ -7,11 +7,14 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _UNBASE = U(pow(int(_BASE), -1, 1 << 64))
 _PIECE = 1 << 20
+#: Sums of letters times powers modulo 2^64 cancel out for some pairs of long words whatever the base; those are hashed by XXH3.
+LONG_WORD = 64
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -112,9 +115,16 @@ def _piece(data: np.ndarray, a: int, b: int, inside: np.ndarray):
     with np.errstate(over="ignore"):
         sums = np.concatenate([[U(0)], np.cumsum(_LETTER[part] * up[: len(part)])])
         hashes = mixed((sums[end] - sums[begin]) * down[begin])
+    hash_long(hashes, part, begin, end)
     return begin + a, end + a, hashes
 
 
+def hash_long(hashes: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0) -> None:
+    """Replace the hashes of words of more than LONG_WORD numbers of `data`."""
+    for i in np.flatnonzero(end - begin > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(data[begin[i] : end[i]].tobytes(), seed)
+
+
 _STEPS = mixed(np.arange(11, 11 + 64, dtype=U)) | U(1)
 
 

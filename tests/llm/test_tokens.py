@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shopstrata.llm import packing, token_counts, token_files, tokens
+from shopstrata.llm import minhash, packing, token_counts, token_files, tokens, words
 
 WORDS, BYTES = (public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 ODD = [
@@ -150,3 +150,27 @@ def test_packing(spark):
         assert at <= 256
     assert len(bins) <= -(-sum(map(len, whole.values())) // 256) * 1.05 + 1
     assert packing.packed(docs.where(F.lit(False)), BYTES).count() == 0
+
+
+def thue_morse(n, a="a", b="b"):
+    """A word of n letters and its complement: their sums of letters times powers of any odd base agree modulo 2^64."""
+    word = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join((a, b)[x] for x in word), "".join((b, a)[x] for x in word)
+
+
+@pytest.mark.parametrize("size", [512, 1024, 4096])
+def test_words_whose_sums_cancel_out(spark, size):
+    one, other = thue_morse(size)
+    texts = [one, other, f"a {one} b", f"a {other} b", one + one, other + one]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    counted = token_counts.token_counts(df, WORDS, keep=["doc_id"])
+    for path in (WORDS, BYTES):
+        library = Tokenizer.from_file(path)
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        flat, first = tokens.Encoder(path).ids(pa.array(texts))
+        assert [flat[a:b].tolist() for a, b in zip(first, first[1:])] == want
+        if path == WORDS:
+            assert [r.n_tokens for r in counted.orderBy("doc_id").collect()] == [len(x) for x in want]
+    assert len(set(words.split(pa.array([one, other]), words.VISIBLE).hash.tolist())) == 2
+    near = minhash.near_duplicates(df, minhash.Likeness(size=3, above=85, below=100))
+    assert {r.doc_id: r.component_id for r in near.collect()} == {i: i for i in range(len(texts))}
