@@ -68,9 +68,11 @@ class Patterns:
         size = min(m, 2)
         blocks = _blocks(self.hash, size)
         ends = ends[np.argsort(blocks[ends], kind="stable")]
-        bits = max(12, int(4 * len(ends) * (m - size + 1)).bit_length())
-        mask = (1 << min(bits, 26)) - 1
-        shift = np.full(mask + 1, m - size + 1, np.int64)
+        inside = np.unique(np.concatenate([blocks[ends - back] for back in range(m - size + 1)])) if len(ends) else blocks[:0]
+        # Two to four places for each block. BLOCK_BYTES of text have at most half as many words, so a table has at most
+        # twice BLOCK_BYTES bytes.
+        mask = (1 << max(12, (2 * len(inside)).bit_length())) - 1
+        shift = np.full(mask + 1, m - size + 1, np.int8)
         for back in range(m - size, -1, -1):  # the nearest to the end comes last and stays
             shift[(blocks[ends - back] & U(mask)).astype(np.int64)] = back
         return Group(m, ends, blocks[ends], shift, mask)
@@ -88,7 +90,7 @@ def _candidates(words: Words, group: Group) -> np.ndarray:
     while len(at):
         shift = group.shift[(blocks[at] & U(group.mask)).astype(np.int64)]
         found.append(at[shift == 0])
-        at = at + np.maximum(shift, 1)
+        at = at + np.maximum(shift, 1).astype(np.int64)
         live = at < to
         at, to = at[live], to[live]
     places = np.concatenate(found)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import table
+from .shared import in_ranges, table
 
 SHINGLE, SIZE = 5, 128
 WHITE = " \t\n\x0b\f\r"
@@ -91,9 +91,8 @@ def _following(keys: DataFrame) -> DataFrame:
 
     Only the keys are put in order, in ranges; each range's first key is the one after the range before.
     """
-    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("id").desc_nulls_last(), F.col("key")]
-    ranged = table(keys.repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id()), "ordered")
+    ranged = in_ranges(keys, *order)
     down = -F.col("id").cast("decimal(20,0)")
     first = F.min_by("key", F.struct(F.col("id").isNull().alias("none"), down.alias("down"), "key"))
     heads = ranged.groupBy("range").agg(first.alias("head"))

@@ -64,7 +64,7 @@ from reached left join (select a as vec_id, count(*) as n from links group by a)
 
 @query
 def op4_secrets(spark, sf_dir):
-    return secrets.scan(documents(spark, sf_dir), keep=["doc_id"])
+    return secrets.scan(documents(spark, sf_dir), words=secrets.ranked_words(public_tokenizers.path(WORDS_49K)), keep=["doc_id"])
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import shared_dir
 
@@ -21,6 +21,23 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_ranges(df: DataFrame, *order: Column) -> DataFrame:
+    """A table of `df` with `range`, the number of the range of rows by `order` that a row is in."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return table(df.repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id()), "ranges")
+
+
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """`df` and `number`, each row's place by `order` from 0 on. Rows are put in order in ranges, never all in one task."""
+    ranged = in_ranges(df, *order)
+    sizes = ranged.groupBy("range").agg(F.count("*").alias("n"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    sizes = sizes.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
+    rows = ranged.withColumn("number", place.cast("long")).join(F.broadcast(sizes), "range")
+    return rows.withColumn("number", F.col("number") + F.col("before")).drop("range", "before")
+
+
 def clear(spark: SparkSession) -> None:
     """Delete all that this application wrote by `table` and `folder`; their DataFrames can't be read any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder(spark, "x").rsplit("/", 1)[0])

@@ -2,7 +2,8 @@
 
 A file holds the ids of consecutive documents as little-endian 32-bit numbers. Its parts, in order:
 
-* data frames, each a zstandard frame with a content checksum of at most FRAME_IDS ids; long documents span several;
+* data frames, each a zstandard frame with a content checksum of at most FRAME_IDS ids, ended at a
+  document's end from FRAME_END ids on; long documents span several;
 * a skippable frame (0x184D2A50) with the documents' index: a zstandard frame of all doc_ids, then all lengths, as 64-bit
   numbers (a null doc_id is the smallest number);
 * a skippable frame (0x184D2A5E), the seek table: for each data frame its compressed size, its size and the low half of
@@ -29,6 +30,8 @@ from .shared import folder, table
 from .tokens import encoder
 
 FRAME_IDS = 1 << 17
+#: A frame ends with the document that brings it to so many ids, so that reading one costs few ids of others.
+FRAME_END = 1 << 14
 INDEX, TABLE, FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 LEVEL = 1
 NO_ID = -(1 << 63)
@@ -60,6 +63,8 @@ class Writer:
             self.held += len(part)
             if self.held == FRAME_IDS:
                 self._frame()
+        if self.held >= FRAME_END:
+            self._frame()
 
     def _frame(self) -> None:
         data = b"".join(self.open_)
@@ -178,7 +183,8 @@ def write(
             yield closed()
 
     encoded = source.mapInArrow(encode, "shard int, doc_id long, width int, ids binary")
-    sorted_ = encoded.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "ids")
+    # Each shard is a partition of its own; hashes of their numbers would put several into one.
+    sorted_ = encoded.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "doc_id", "ids")
     return table(sorted_.mapInArrow(save, "shard int, path string, n_docs long, n_ids long"), "token-manifest")
 
 
@@ -196,7 +202,7 @@ def read(files: DataFrame) -> DataFrame:
                 doc_id = pa.array(reader.doc_ids, mask=reader.doc_ids == NO_ID)
                 yield pa.RecordBatch.from_arrays([doc_id, pa.array(reader.starts + start), pa.array(reader.lengths.astype(np.int64)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = placed.repartition(max(1, files.rdd.getNumPartitions()), "shard")
+    spread = placed.repartitionById(max(1, files.rdd.getNumPartitions()), F.col("shard"))
     return spread.mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

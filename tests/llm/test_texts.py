@@ -1,12 +1,14 @@
 """Quality, decontamination, secrets and chat on small tables, against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,15 +148,60 @@ def test_values_behind_schemes_and_nested_contexts():
         assert [x for x in scanner.spans(text) if x[1] == 3] == [], text[:50]
 
 
+def least_cost(value, guesses):
+    """All cuts, segment by segment as their definitions say."""
+    low = value.lower()
+    plain, keys = low.translate(secrets.LEET), low.translate(secrets.SHIFTED)
+
+    def segment(i, j):
+        found = [guesses.word(value, low, plain, i, j)]
+        if j == i + 1:
+            found.append(secrets._char_bits(value[i]))
+        if any(m and m.end() == j for m in (secrets.DATE.match(low, i), secrets.YEAR.match(low, i))):
+            found.append(secrets.DATE_BITS)
+        pairs = list(zip(keys[i : j - 1], keys[i + 1 : j]))
+        if len(pairs) >= 2 and all(p in secrets._neighbours() for p in pairs):
+            steps = [ord(b) - ord(a) for a, b in pairs]
+            found.append(secrets.START_BITS + math.log2(len(pairs) + 1) + 1 + sum(x != y for x, y in zip(steps, steps[1:])))
+        for p in range(1, i + 1):
+            times = (j - i) // p
+            if (j - i) % p == 0 and value[i:j] == value[i - p : i] * times and (p > 1 or times >= 2):
+                found.append(math.log2(times + 1))
+        return min(found)
+
+    best = [0.0]
+    for j in range(1, len(value) + 1):
+        best.append(min(best[i] + segment(i, j) for i in range(j)))
+    return best[-1]
+
+
 def test_guess_costs_are_the_least_over_all_cuts():
-    """Against a search over all cuts into single characters, known words and repeats of the part before."""
-    guesses = secrets.Guesses()
-    assert guesses.cost("") == 0
-    for cheap, dear in (("password", "pdrsaswo"), ("qwertyui", "qmeptzui"), ("20240131", "20944135"), ("abababab", "abbbaaba"), ("P@ssword", "P@szword")):
-        assert guesses.cost(cheap) < guesses.cost(dear)
-    for value in ("password1990xx", "dragonqwerty", "zzzzzzzz1", "hello2024-01-31", "x8$kQ!z9Lm2"):
-        for k in range(1, len(value)):
-            assert guesses.cost(value) <= guesses.cost(value[:k]) + guesses.cost(value[k:]) + 1e-9
+    rnd, guesses = random.Random(12), secrets.Guesses([*secrets.WORDS, "aaaaaaa", "abab", "assas"])
+    parts = ["password", "qwerty", "rtyuiop", "123", "321", "1990", "2024-01-31", "Dragon", "p@ss", "zz", "aaa", "ab", "x", "!", "asas", "monkey", "7Q"]
+    values = ["", "passwordrtyuiop", "12x84b90712x84b907", "a" * 40, "ab" * 17, "aaaaaaa" * 3 + "ab" * 5, "passpasspass", "hgfdsa" * 3, "112233"]
+    values += ["".join(rnd.choice(parts) * rnd.choice([1, 1, 2, 3]) for _ in range(rnd.randrange(1, 5))) for _ in range(100)]
+    values += ["".join(rnd.choice("aabs1") for _ in range(rnd.randrange(20))) for _ in range(200)]
+    for value in values:
+        want = least_cost(value, guesses)
+        assert guesses.cost(value) == pytest.approx(want), value
+        for enough in (5.0, 20.0, 40.0):
+            got = guesses.cost(value, enough)
+            assert got == pytest.approx(want) if want < enough else got >= enough, (value, enough)
+    long = "x8$kQ!z9Lm2" * 30_000
+    assert guesses.cost(long, 40.0) >= 40 and guesses.cost("pass" * 3000) < 30
+
+
+def test_ordinary_values_are_no_secrets():
+    words = secrets.ranked_words(public_tokenizers.path("word_bpe_49k.json"))
+    scanner = secrets.Scanner(words)
+    assert len(words) > 10_000 and words[: len(secrets.WORDS)] == tuple(dict.fromkeys(secrets.WORDS))
+    for text in (
+        "api_key: documentation", "secret: configuration", "password: international", "pwd: /etc/ssl/private/server.key", "pwd = https://example.com/login/page",
+        "credentials: required", "bearer: authentication", "auth: 12x84b90712", "pwd: passwordrtyuiop", "passphrase: 'correct horse'", "pwd: 2024-01-31",
+    ):
+        assert not [s for s in scanner.spans(text) if s[1] == 3], text
+    for text in ("pwd: Zx!9-kQ7vR2#mP4w", "auth: 9f8Kq2LmZt7Wd1Xs", "pwd: /run/Zx9kQ7vR2mP4w8Tq", "client_secret: 'tR7#kd93LpqX'"):
+        assert [s for s in scanner.spans(text) if s[1] == 3], text
 
 
 # Chat
