@@ -12,9 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopstrata.llm import decontaminate, minhash, packing, quality, secrets
-from shopstrata.llm.shared import table
+from shopstrata.llm.shared import numbered, table
 
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
 END_ID, CAPACITY = 2, 1024
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,15 +34,22 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose sets of five-word shingles are 0.8 alike: the one with the smallest id.
 
-    Of several rows of one id the smallest by all columns stays. Rows without an id or without words all stay.
+    Rows of one id with different texts are documents of their own, in the order of their texts' digests; of rows alike in id
+    and text the smallest by all columns stays. Rows without an id or without words all stay.
     """
-    found = minhash.near_duplicates(docs, minhash.Likeness(size=5, above=4, below=5)).where("doc_id is not null")
-    verdict = found.groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows")).where("__kept").drop("__kept")
-    rows = docs.join(verdict, "doc_id").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "__rows")
-    once = rows.where("__rows = 1").select("row")
-    again = rows.where("__rows > 1").groupBy("row.doc_id").agg(F.min("row").alias("row")).select("row")
-    nameless = docs.where("doc_id is null").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return once.unionByName(again).unionByName(nameless).select("row.*")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("number"), "text")
+    named, nameless = whole.where("number is not null"), whole.where("number is null").select("row")
+    repeated = not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+    if repeated:
+        digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest")
+        named = named.select("row", F.col("number").alias("id"), "text", digest)
+        numbers = numbered(named.select("id", "digest").distinct(), F.col("id"), F.col("digest"))
+        named = table(named.join(numbers, ["id", "digest"]).drop("id", "digest"), "numbered")
+    found = minhash.near_duplicates(named, minhash.Likeness(size=5, above=4, below=5), id_column="number")
+    kept = found.where("kept").select(F.col("doc_id").alias("number")).distinct()
+    rows = named.select("row", "number").join(kept, "number", "left_semi")
+    once = rows.groupBy("number").agg(F.min("row").alias("row")) if repeated else rows
+    return once.select("row").unionByName(nameless).select("row.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +60,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret in their texts replaced by [SECRET]; n_chars follows."""
-    found = secrets.redact(_beside_text(docs)).withColumn("text", F.when(F.col("n_secrets") > 0, F.col("redacted")).otherwise(F.col("row.text")))
+    words = secrets.ranked_words(public_tokenizers.path(WORDS))
+    found = secrets.redact(_beside_text(docs), words=words).withColumn("text", F.when(F.col("n_secrets") > 0, F.col("redacted")).otherwise(F.col("row.text")))
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_secrets") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {"text": F.col("text")}
     return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
