@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .shared import small_batches
+
 Maker = Callable[[], Callable[[pa.Array], list[pa.Array]]]
 
 #: Bytes of text that are handled at once; one longer text is handled alone.
@@ -38,6 +40,7 @@ def with_columns(df: DataFrame, text: str, fields: str, maker: Maker, keep: list
     `maker` is called once in each task, so that vocabularies and tables are loaded once. A null text is handled as an
     empty one. A column of `df` that has the name of a new one is replaced.
     """
+    small_batches(df.sparkSession)
     new = T._parse_datatype_string(fields)
     kept = [c for c in (df.columns if keep is None else keep) if c not in new.names]
     hidden = "__text"

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .batches import parts
+from .shared import small_batches
 from .words import LETTERS, U, Words, _ranges, mixed, split
 
 WINDOW = 10
@@ -135,6 +136,7 @@ def marked(
     bounded size, each searched in the same pass over the documents.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     new = ["n_words", "spans", "items", "n_hit", "n_items", "items_sha256", "contaminated"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
     hidden = "__text"

@@ -9,6 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..session import shared_dir
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches have at most BATCH_BYTES from now on, unless the cluster's settings name a size: Spark's own limit
+    (256 MB, or 10,000 rows) is several times what a worker's share of an executor can hold with its copies."""
+    if not spark.sparkContext.getConf().contains(_BATCH):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new path under spark.checkpoint.dir."""
     return f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
@@ -16,6 +28,7 @@ def folder(spark: SparkSession, name: str) -> str:
 
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once and go on from the files: later steps neither compute it again nor need its executors."""
+    small_batches(df.sparkSession)
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

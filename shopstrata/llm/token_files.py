@@ -26,7 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .batches import parts
-from .shared import folder, table
+from .shared import folder, small_batches, table
 from .tokens import encoder
 
 FRAME_IDS = 1 << 17
@@ -141,6 +141,7 @@ def write(
     a range of ids, as many files as `docs` has partitions. Other columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     out = out or folder(spark, "token-files")
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     shards = max(1, source.rdd.getNumPartitions())
