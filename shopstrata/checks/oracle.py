@@ -419,6 +419,10 @@ _add("state_unique_visit_first_day", "raw_pages", f"""
     select {_PAGE} from raw_pages where event_type = 'view'
     qualify ts // 86400000 = min(ts // 86400000) over (partition by mid)""")
 _add("state_user_jump", "jumps", f"select {_PAGE} from jumps")
+_add("stream_user_jump", "jumps", f"select {_PAGE} from jumps")
+_add("stream_unique_visit_first_day", "raw_pages", f"""
+    select {_PAGE} from raw_pages where event_type = 'view'
+    qualify ts // 86400000 = min(ts // 86400000) over (partition by mid)""")
 _add("state_user_jump_10s", "raw_pages", f"""
     select {_PAGE} from raw_pages e where event_type = 'view' and not exists (
         select 1 from raw_pages f where f.mid = e.mid and f.event_type <> 'view' and f.ts < e.ts + 10000

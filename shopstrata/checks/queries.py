@@ -17,6 +17,7 @@ from ..session import shared_dir
 from ..sources import jdbc, sample, topics
 from ..sources.dimstore import DimStore
 from ..streaming import jobs, sinks
+from ..streaming.state import ROCKSDB
 from ..streaming.routing import RoutingConfig
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -658,10 +659,19 @@ def state_user_jump_10s(spark, folder):
 # Streams of the tables' files, drained into the shared folder
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
 def _drained(rows: DataFrame, name: str, mode: str = "append") -> DataFrame:
     spark = rows.sparkSession
     root = f"{shared_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
-    sinks.start_batches(rows, sinks.batch_folders(f"{root}/rows"), f"{root}/checkpoint", mode).awaitTermination()
+    # Operators with state of their own need this state store.
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKSDB)
+    try:
+        sinks.start_batches(rows, sinks.batch_folders(f"{root}/rows"), f"{root}/checkpoint", mode).awaitTermination()
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
     return spark.read.parquet(f"{root}/rows")
 
 
@@ -704,6 +714,24 @@ def _as_stream(rows: DataFrame, **closing) -> DataFrame:
     return topics.read_text_folder(spark, path, 1)
 
 
+def _page_topic(pages: DataFrame) -> DataFrame:
+    return _as_stream(pages, ts=_FAR_MS, common=F.struct(F.lit("closing").alias("mid")))
+
+
+@query
+def stream_user_jump(spark, folder):
+    """The jump job on a topic, with event-time timers."""
+    found = jobs.user_jumps(_page_topic(raw_pages(spark, folder)), JUMP_TIMEOUT)
+    return page_columns(_drained(found, "stream_user_jump").where(F.col("ts") < _FAR_MS))
+
+
+@query
+def stream_unique_visit_first_day(spark, folder):
+    """The unique-visit job on a topic, by the rule of a device's first day."""
+    found = jobs.unique_visits(_page_topic(raw_pages(spark, folder).orderBy("ts")), mode="first_day")
+    return page_columns(_drained(found, "stream_first_day").where(F.col("ts") < _FAR_MS))
+
+
 @query
 def stream_visitor(spark, folder):
     """The visitor job on three topics."""

@@ -5,23 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.times import day_of, event_time
+from ..streaming.state import first_day_visits, jumps_with_timers
 from .joins import balanced_join
 from .logs import entry_pages, is_entry, time_order
 
 
 def unique_visits(
-    pages: DataFrame, mode: str = "first", zone: str | None = None, id_col: str = "log_id", delay: str = "1 second"
+    pages: DataFrame, mode: str = "first", zone: str | None = None, id_col: str = "log_id", delay: str = "1 second",
+    keep_ms: int | None = None,
 ) -> DataFrame:
     """Entry pages that count a visitor once a day.
 
     `first` keeps a device's first entry page of each day. `first_day` keeps every entry page of the first day the
-    device was seen on, and nothing later. A stream keeps the first row to arrive and forgets a day once the watermark
-    is a day past it.
+    device was seen on, and nothing later. A stream keeps the first row to arrive and, in mode `first`, forgets a day once
+    the watermark is a day past it; `keep_ms` makes mode `first_day` forget a device (see `state.first_day_visits`).
     """
     visits = entry_pages(pages).where("common.mid is not null").withColumn("_day", day_of(event_time("ts"), zone))
     if pages.isStreaming:
+        if mode == "first_day":
+            return first_day_visits(pages, zone, keep_ms, delay)
         if mode != "first":
-            raise ValueError("a stream supports mode='first' only")
+            raise ValueError(f"unknown mode {mode!r}")
         keyed = visits.select("*", F.col("common.mid").alias("_mid"), event_time("ts").alias("_at"))
         state_kept = f"{delay} 24 hours"
         return (
@@ -49,10 +53,10 @@ def user_jumps(
 ) -> DataFrame:
     """Entry pages not followed by another page of the device within the timeout.
 
-    A follow-up is a page reached from another page, at or after the entry and less than the timeout later.
+    A follow-up is a page reached from another page, after the entry (by time and id) and less than the timeout later.
     """
     if pages.isStreaming:
-        return _stream_jumps(pages, timeout_seconds, delay)
+        return jumps_with_timers(pages, timeout_seconds, delay, id_col)
     timeout = timeout_seconds * 1000
     # A device's log is cut into slots of one timeout, so a busy device is many groups, and of a slot's follow-ups only
     # the last and the first matter: a later one in the entry's own slot is within the timeout, and of the next slot
@@ -63,15 +67,3 @@ def user_jumps(
     entries = slotted.where(is_entry()).join(own, ["_mid", "_slot"], "left").join(following, ["_mid", "_slot"], "left")
     followed = (F.col("_last") > F.col("_order")) | (F.col("_first") < F.col("ts") + timeout)
     return entries.where(~F.coalesce(followed, F.lit(False))).select(*pages.columns)
-
-
-def _stream_jumps(pages: DataFrame, timeout_seconds: int, delay: str) -> DataFrame:
-    timed = pages.select("*", F.col("common.mid").alias("_mid"), event_time("ts").alias("_at"))
-    timed = timed.where("_mid is not null").withWatermark("_at", delay)
-    entries = timed.where(is_entry()).alias("e")
-    follows = timed.where(~is_entry()).select(F.col("_mid").alias("_fmid"), F.col("_at").alias("_fat")).alias("f")
-    within = F.expr(
-        f"_fmid = e._mid and _fat >= e._at and _fat < e._at + interval {int(timeout_seconds)} seconds"
-    )
-    joined = entries.join(follows, within, "left").where("_fmid is null")
-    return joined.select(*[F.col(f"e.{c}") for c in pages.columns])

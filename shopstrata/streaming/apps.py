@@ -22,6 +22,7 @@ from ..sources.topics import PER_TRIGGER, FolderTopics, KafkaTopics
 from . import jobs
 from .routing import RoutingConfig
 from .sinks import BatchWriter, serving_folder, start_batches, topic_rows
+from .state import ROCKSDB
 
 
 @dataclass
@@ -39,6 +40,11 @@ class Warehouse:
     # How far rows of one topic may be out of order, for all jobs and, by name, for some.
     lateness: str = LATENESS
     latenesses: dict[str, str] = field(default_factory=dict)
+    # Devices (mid, ts) that a new checkpoint of the log split knows already; see `state.known_visitors`.
+    known_visitors: Callable[[], DataFrame] | None = None
+    # A unique visit is a device's first of a day (`first`), or any of the first day it was seen on (`first_day`).
+    visit_mode: str = "first"
+    visit_keep_ms: int | None = None
 
     def __post_init__(self):
         self.serving = self.serving or serving_folder(f"{self.root}/serving")
@@ -67,7 +73,8 @@ class Warehouse:
 
 
 def log_split(w: Warehouse) -> StreamingQuery:
-    return w.start(jobs.log_records(w.read(C.ODS_LOG, "log_split")), "log_split", w.topics.writer("log_split"))
+    known = w.known_visitors() if w.known_visitors else None
+    return w.start(jobs.log_records(w.read(C.ODS_LOG, "log_split"), known=known), "log_split", w.topics.writer("log_split"))
 
 
 def change_route(w: Warehouse) -> StreamingQuery:
@@ -78,7 +85,8 @@ def change_route(w: Warehouse) -> StreamingQuery:
 
 
 def unique_visit(w: Warehouse) -> StreamingQuery:
-    rows = jobs.unique_visits(w.read(C.DWD_PAGE, "unique_visit"), delay=w.delay("unique_visit"))
+    lines = w.read(C.DWD_PAGE, "unique_visit")
+    rows = jobs.unique_visits(lines, delay=w.delay("unique_visit"), mode=w.visit_mode, keep_ms=w.visit_keep_ms)
     return w.start(rows, "unique_visit", w.to_topic(C.DWM_UNIQUE_VISIT, "unique_visit"))
 
 
@@ -163,15 +171,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--routing-query", default="select * from table_process")
     parser.add_argument("--lateness", default=LATENESS, help="how far rows of a topic may be out of order")
     parser.add_argument("--per-trigger", type=int, default=PER_TRIGGER, help="rows of a Kafka topic, or files of a folder, in a batch")
+    parser.add_argument("--known-visitors", help="parquet (mid, ts) of devices that were new before log_split's checkpoint began")
+    parser.add_argument("--visit-mode", default="first", choices=["first", "first_day"], help="which entries of a device are unique visits")
+    parser.add_argument("--visit-keep-hours", type=float, help="first_day: forget a device so long after its last entry that counted")
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     args = parser.parse_args(argv)
-    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    builder = SparkSession.builder.appName(args.app).config("spark.sql.streaming.stateStore.providerClass", provider)
+    builder = SparkSession.builder.appName(args.app).config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spark = builder.getOrCreate()
     topics = KafkaTopics(args.servers, per_trigger=args.per_trigger) if args.servers else FolderTopics(args.topic_folder, args.per_trigger)
     routing = (lambda: read_query(spark, args.routing_url, args.routing_query)) if args.routing_url else None
     trigger = {"availableNow": True} if args.once else {"processingTime": "10 seconds"}
-    warehouse = Warehouse(spark, topics, args.root, routing, trigger=trigger, lateness=args.lateness)
+    known = (lambda: spark.read.parquet(args.known_visitors)) if args.known_visitors else None
+    keep_ms = None if args.visit_keep_hours is None else round(args.visit_keep_hours * 3_600_000)
+    warehouse = Warehouse(
+        spark, topics, args.root, routing, trigger=trigger, lateness=args.lateness, known_visitors=known, visit_mode=args.visit_mode, visit_keep_ms=keep_ms
+    )
     APPS[args.app](warehouse).awaitTermination()
 
 

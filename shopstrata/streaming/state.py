@@ -1,15 +1,31 @@
-"""New-visitor repair on a stream, the one operator that needs state of its own."""
+"""The operators that need state of their own on a stream: new visitors, a visitor's first day, and jumps.
+
+All three need the RocksDB state store.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions.times import day_of, event_time
+from ..operators.logs import entry_pages, is_entry
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _NEW, _KNOWN = "1", "0"
 _ROW = T.StructType([T.StructField("is_new", T.StringType()), T.StructField("record", T.StringType())])
+_RECORD = T.StructType([T.StructField("record", T.StringType())])
+
+
+def _as_record(columns: list[str]) -> Column:
+    return F.to_json(F.struct(*columns)).alias("record")
+
+
+def _from_record(rows: DataFrame, like: DataFrame) -> DataFrame:
+    return rows.select(F.from_json("record", like.schema).alias("r")).select(*[F.col(f"r.{c}") for c in like.columns])
 
 
 class _FirstVisit(StatefulProcessor):
@@ -18,6 +34,9 @@ class _FirstVisit(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._seen = handle.getValueState("seen", T.StructType([T.StructField("ts", T.LongType())]))
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        self._seen.update((int(initialState["ts"].min()),))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         seen = self._seen.exists()
         for chunk in rows:
@@ -33,22 +52,172 @@ class _FirstVisit(StatefulProcessor):
         pass
 
 
-def repair_is_new_stream(log: DataFrame) -> DataFrame:
+def known_visitors(log: DataFrame) -> DataFrame:
+    """The devices (mid, ts) of a batch of the log that had a new-visitor mark, with its first time."""
+    marked = log.where((F.col("common.is_new") == _NEW) & F.col("common.mid").isNotNull())
+    return marked.groupBy(F.col("common.mid").alias("mid")).agg(F.min("ts").alias("ts"))
+
+
+def repair_is_new_stream(log: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Keep a device's first `is_new = '1'` to arrive (by time within a batch of rows) and turn later ones into '0'.
 
-    Only marked records of a known device need state; all others pass beside it. Needs the RocksDB state store.
+    Only marked records need state; all others pass beside it. `known` (mid, ts; see `known_visitors`) are devices that were
+    new before this stream: a new checkpoint starts with them, an old one has its own state and doesn't read them.
     """
-    schema = log.schema
     marked = F.coalesce(F.col("common.is_new") == _NEW, F.lit(False)) & F.col("common.mid").isNotNull()
-    rows = log.where(marked).select(
-        F.col("common.mid").alias("mid"),
-        "ts",
-        F.to_json(F.struct(*log.columns)).alias("record"),
-    )
+    rows = log.where(marked).select(F.col("common.mid").alias("mid"), "ts", _as_record(log.columns))
+    start = None
+    if known is not None:
+        start = known.where("mid is not null").select("mid", F.coalesce(F.col("ts").cast("long"), F.lit(0)).alias("ts")).groupBy("mid")
     fixed = rows.groupBy("mid").transformWithStateInPandas(
-        statefulProcessor=_FirstVisit(), outputStructType=_ROW, outputMode="Append", timeMode="None"
+        statefulProcessor=_FirstVisit(), outputStructType=_ROW, outputMode="Append", timeMode="None", initialState=start
     )
-    record = F.from_json("record", schema).alias("r")
+    record = F.from_json("record", log.schema).alias("r")
     common = F.col("r.common").withField("is_new", F.col("is_new")).alias("common")
     fixed = fixed.select("is_new", record).select(*[common if c == "common" else F.col(f"r.{c}") for c in log.columns])
     return log.where(~marked).unionByName(fixed)
+
+
+class _FirstDay(StatefulProcessor):
+    """Remembers per device the first day it was seen on, and by a timer forgets it `keep` after its last entry that counted."""
+
+    def __init__(self, keep_ms: int | None):
+        self._keep = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._day = handle.getValueState("day", T.StructType([T.StructField("day", T.IntegerType()), T.StructField("until", T.LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        chunks = list(rows)
+        known = self._day.get()
+        day = min(int(c["day"].min()) for c in chunks) if known is None else known[0]
+        mine = [c.loc[c["day"] == day, ["ts", "record"]] for c in chunks]
+        times = [int(c["ts"].max()) for c in mine if len(c)]
+        if times:
+            until = max(times) + (self._keep or 0)
+            if known is not None and known[1] >= until:
+                until = known[1]
+            elif self._keep is not None:
+                if known is not None:
+                    self._handle.deleteTimer(known[1])
+                self._handle.registerTimer(until)
+            self._day.update((day, until))
+        yield from (c[["record"]] for c in mine)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        self._day.clear()
+        yield pd.DataFrame({"record": pd.Series([], dtype=str)})
+
+    def close(self) -> None:
+        pass
+
+
+def first_day_visits(pages: DataFrame, zone: str | None = None, keep_ms: int | None = None, delay: str = "0 seconds") -> DataFrame:
+    """Entry pages of the first day that a device was seen on, of those to arrive; nothing of it later.
+
+    keep_ms: forget a device once the watermark is so long past its last entry that counted; its next day is then a first one
+    again. Without it, devices are remembered for good. Of a micro-batch the earliest day counts, whatever the order of its
+    rows.
+    """
+    visits = entry_pages(pages).where("common.mid is not null and ts is not null")
+    day = F.unix_date(day_of(event_time("ts"), zone)).alias("day")
+    rows = visits.select(F.col("common.mid").alias("mid"), day, "ts", _as_record(pages.columns), event_time("ts").alias("at"))
+    if keep_ms is not None:
+        rows = rows.withWatermark("at", delay)
+    kept = rows.groupBy("mid").transformWithStateInPandas(
+        statefulProcessor=_FirstDay(keep_ms), outputStructType=_RECORD, outputMode="Append", timeMode="None" if keep_ms is None else "EventTime"
+    )
+    return _from_record(kept, pages)
+
+
+_SLOT_KEY = T.StructType([T.StructField("slot", T.LongType())])
+_ENTRY = T.StructType([T.StructField("ts", T.LongType()), T.StructField("id", T.LongType()), T.StructField("record", T.StringType())])
+_SLOT = T.StructType([
+    *[T.StructField(n, T.LongType()) for n in ("last_ts", "last_id", "first_ts")],
+    T.StructField("entries", T.ArrayType(_ENTRY)),
+])
+#: Ids of pages that have none: such a follow-up counts as later than an entry of the same time.
+_LATEST = (1 << 63) - 1
+
+
+class _OpenEntries(StatefulProcessor):
+    """A device's pages by slots of one timeout: entries that nothing has followed yet, and the last and first follow-up.
+
+    An entry in slot s is followed by a later page of slot s, or by one of slot s + 1 that is less than the timeout behind it.
+    A follow-up deletes the entries before it; a slot's timer emits those that are left when slot s + 1 is over, and one more
+    timeout later what the slot holds is forgotten.
+    """
+
+    def __init__(self, timeout_ms: int):
+        self._timeout = timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._slots = handle.getMapState("slots", _SLOT_KEY, _SLOT)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        slots: dict[int, list] = {}
+        changed: set[int] = set()
+        for chunk in rows:
+            for ts, id_, entry, record in zip(chunk["ts"].tolist(), chunk["id"].tolist(), chunk["entry"].tolist(), chunk["record"].tolist()):
+                slot = self._slot(slots, ts // self._timeout)
+                changed.add(ts // self._timeout)
+                if entry:
+                    slot[3].append((ts, id_, record))
+                else:
+                    if slot[0] is None or (ts, id_) > (slot[0], slot[1]):
+                        slot[0], slot[1] = ts, id_
+                    slot[2] = ts if slot[2] is None else min(slot[2], ts)
+        for s in changed | {s - 1 for s in changed if slots[s][2] is not None}:
+            slot = self._slot(slots, s)
+            left = [e for e in slot[3] if not self._followed(e, slot, self._slot(slots, s + 1))]
+            if s not in changed and len(left) == len(slot[3]):
+                continue
+            self._slots.updateValue((s,), (slot[0], slot[1], slot[2], left))
+            if s in changed:
+                self._handle.registerTimer((s + 2) * self._timeout)
+        yield pd.DataFrame({"record": pd.Series([], dtype=str)})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        number = expiredTimerInfo.getExpiryTimeInMs() // self._timeout - 2
+        slots: dict[int, list] = {}
+        slot = self._slot(slots, number)
+        if slot[3]:
+            after = self._slot(slots, number + 1)
+            yield pd.DataFrame({"record": [e[2] for e in slot[3] if not self._followed(e, slot, after)]}, dtype=str)
+        # Entries of the slot before, which need this slot's first follow-up, had their timer one timeout ago.
+        self._slots.removeKey((number,))
+
+    def _slot(self, slots: dict[int, list], number: int) -> list:
+        if number not in slots:
+            found = self._slots.getValue((number,)) if self._slots.containsKey((number,)) else None
+            slots[number] = [None, None, None, []] if found is None else [*found[:3], [tuple(e) for e in found[3]]]
+        return slots[number]
+
+    def _followed(self, entry: tuple, slot: list, after: list) -> bool:
+        ts, id_, _ = entry
+        later = slot[0] is not None and (slot[0], slot[1]) > (ts, -1 if id_ == _LATEST else id_)
+        return later or (after[2] is not None and after[2] < ts + self._timeout)
+
+    def close(self) -> None:
+        pass
+
+
+def jumps_with_timers(pages: DataFrame, timeout_seconds: int, delay: str, id_col: str = "log_id") -> DataFrame:
+    """Entry pages that no page of their device followed within the timeout, as `visits.user_jumps` defines them.
+
+    An entry comes out when the watermark has passed the end of the slot of one timeout behind its own, so at most two timeouts
+    behind it. The state of a device is what the watermark has not passed.
+    """
+    identity = F.coalesce(F.col(id_col).cast("long"), F.lit(_LATEST)) if id_col in pages.columns else F.lit(_LATEST)
+    known = pages.where("common.mid is not null and ts is not null")
+    rows = known.select(
+        F.col("common.mid").alias("mid"), "ts", identity.alias("id"), is_entry().alias("entry"),
+        F.when(is_entry(), _as_record(pages.columns)).alias("record"), event_time("ts").alias("at"),
+    )
+    jumps = rows.withWatermark("at", delay).groupBy("mid").transformWithStateInPandas(
+        statefulProcessor=_OpenEntries(timeout_seconds * 1000), outputStructType=_RECORD, outputMode="Append", timeMode="EventTime"
+    )
+    return _from_record(jumps, pages)
+

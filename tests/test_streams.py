@@ -13,6 +13,7 @@ from shopstrata.sources import sample
 from shopstrata.sources.dimstore import DimStore
 from shopstrata.streaming import jobs, sinks
 from shopstrata.streaming.routing import RoutingConfig
+from shopstrata.streaming.state import known_visitors
 
 from .streams import as_dicts, lines, new_dir, run, write_file, write_files
 
@@ -65,6 +66,62 @@ def test_jumps_equal_batch(spark, sample_dir, page_folder):
     assert rows_of(open_rows(found).select("log_id")) == rows_of(batch.select("log_id"))
 
 
+def test_jumps_with_many_follow_ups_and_late_arrivals(spark):
+    """1,000 follow-ups of an entry are two numbers of state; order of arrival inside the lateness doesn't matter."""
+    base, folder, work = 1_704_067_200_000, new_dir() / "pages", new_dir()
+    busy = [page("busy", base)] + [page("busy", base + 1 + k, last="home") for k in range(1000)] + [page("busy", base + 20_000)]
+    write_file(folder, busy)
+    # The follow-ups arrive before the entry; the one of c is a millisecond too late, d's entry is followed in its own millisecond.
+    write_file(folder, [page("b", base + 9_000, last="home"), page("c", base + 10_000, last="home"), page("e", base + 5_000)])
+    write_file(folder, [page("b", base), page("c", base), page("d", base), page("d", base, last="home")])
+    write_file(folder, [page("e", base + 14_999, last="home"), page("f", base), page("f", base + 3_000), page("f", base + 4_000, last="home")])
+    write_file(folder, CLOSING)
+    write_file(folder, CLOSING)
+    found = run(jobs.user_jumps(lines(spark, folder)), work / "out", work / "cp")
+    assert rows_of(open_rows(found).select("common.mid", "ts")) == Counter({("busy", base + 20_000): 1, ("c", base): 1})
+
+
+def test_jumps_survive_a_restart(spark):
+    base, folder, work = 1_704_067_200_000, new_dir() / "pages", new_dir()
+    steps = [[page("a", base), page("b", base)], [page("a", base + 8_000, last="home")], [page("z", base + 60_000)], [page("z", base + 61_000)], CLOSING, CLOSING]
+    for step in steps:
+        write_file(folder, step)
+        found = run(jobs.user_jumps(lines(spark, folder)), work / "out", work / "cp")
+    assert sorted(r["mid"] for r in open_rows(found).select("common.mid").collect()) == ["b", "z", "z"]
+
+
+def test_first_day_visits(spark):
+    day, folder, work = 86_400_000, new_dir() / "pages", new_dir()
+    base = 19_800 * day
+    write_file(folder, [page("a", base + day), page("a", base + 5), page("b", base + day)])
+    write_file(folder, [page("a", base + 9), page("a", base + day + 1), page("a", base + 10, last="home"), page("b", base + 2 * day)])
+    job = lambda keep=None: jobs.unique_visits(lines(spark, folder), mode="first_day", keep_ms=keep)
+    found = run(job(), work / "out", work / "cp")
+    want = {("a", base + 5): 1, ("a", base + 9): 1, ("b", base + day): 1}
+    assert rows_of(found.select("common.mid", "ts")) == Counter(want)
+    # Three days after its last entry that counted a device is forgotten: then its next day is a first one.
+    found = {}
+    for later in (None, base + 3 * day, base + 4 * day, base + 9 * day, base + 20 * day, base + 21 * day):
+        if later:
+            write_file(folder, [page("a", later), page("other", later + 30_000)])
+        found = run(job(3 * day), work / "kept", work / "cp-kept")
+    seen = [ts - base for mid, ts in rows_of(found.select("common.mid", "ts")) if mid == "a"]
+    assert sorted(seen) == [5, 9, 9 * day, 21 * day]
+
+
+def test_new_checkpoint_knows_old_devices(spark, sample_dir):
+    log = sample.app_log(spark, sample_dir)
+    half = log.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    folder, work = write_files(new_dir() / "log", as_dicts(log.where(F.col("ts") >= half).orderBy("ts", "log_id")), 2), new_dir()
+    known = known_visitors(log.where(F.col("ts") < half))
+    parsed = jobs.jsonio.parse(lines(spark, folder), log.schema)
+    found = run(jobs.repair_is_new_stream(parsed, known), work / "out", work / "cp")
+    expected = logs.repair_is_new(log).where(F.col("ts") >= half)
+    assert rows_of(found.select("log_id", "common.is_new")) == rows_of(expected.select("log_id", "common.is_new"))
+    old = {r["mid"] for r in known.collect()}
+    assert old and not [r for r in found.where("common.is_new = '1'").select("common.mid").collect() if r["mid"] in old]
+
+
 def test_unique_visits_equal_batch_by_visitor_and_day(spark, sample_dir, page_folder):
     work = new_dir()
     found = run(jobs.unique_visits(lines(spark, page_folder)), work / "out", work / "cp")
