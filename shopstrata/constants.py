@@ -55,3 +55,6 @@ VISITOR_TABLE = "visitor_stats"
 PRODUCT_TABLE = "product_stats"
 PROVINCE_TABLE = "province_stats"
 KEYWORD_TABLE = "keyword_stats"
+
+#: The column of a topic's records that holds an id which a repeated record has again.
+RECORD_ID = "record_id"

@@ -8,7 +8,7 @@ from operator import and_
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..constants import DWD_DEFAULT, SINK_DIM, SINK_STREAM
+from ..constants import DWD_DEFAULT, RECORD_ID, SINK_DIM, SINK_STREAM
 from ..schemas import ROUTING
 from .joins import balanced_join
 
@@ -101,9 +101,10 @@ def dim_routes(routing: DataFrame) -> DataFrame:
 
 
 def topic_records(routed: DataFrame, default: str = DWD_DEFAULT) -> DataFrame:
-    """Topic and JSON payload of each routed change."""
+    """Topic and JSON payload of each routed change, and its id where the source gives one (its place or an id of its own)."""
     topic = F.coalesce(F.col("sink_table"), F.lit(default))
-    return routed.select(topic.alias("topic"), F.to_json("data").alias("value"))
+    given = [F.col(c).cast("string") for c in ("log_id", RECORD_ID) if c in routed.columns]
+    return routed.select(topic.alias("topic"), F.to_json("data").alias("value"), *([F.coalesce(*given).alias(RECORD_ID)] if given else []))
 
 
 def where_equal(df: DataFrame, values: dict[str, str]) -> DataFrame:

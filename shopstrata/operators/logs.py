@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..constants import DWD_DISPLAY, DWD_PAGE, DWD_START
+from ..constants import DWD_DISPLAY, DWD_PAGE, DWD_START, RECORD_ID
 
 _NEW = "1"
 _KNOWN = "0"
@@ -64,8 +64,11 @@ def page_rows(log: DataFrame, exclusive: bool = False) -> DataFrame:
     return pages.drop("start")
 
 
-def route_log(log: DataFrame, exclusive: bool = False) -> DataFrame:
-    """All three outputs in one pass: the topic of each record and its JSON text."""
+def route_log(log: DataFrame, exclusive: bool = False, ids: bool = False) -> DataFrame:
+    """All three outputs in one pass: the topic of each record and its JSON text.
+
+    ids: also an id, from the raw record's `log_id` and the output's number; null where there is no `log_id`.
+    """
     meta = [c for c in log.columns if c not in ("start", "page", "displays")]
     targets = "array<struct<topic:string,item:string>>"
 
@@ -82,4 +85,7 @@ def route_log(log: DataFrame, exclusive: bool = False) -> DataFrame:
         .when(F.col("_t.topic") == DWD_PAGE, F.to_json(F.struct(*meta, "page", "displays")))
         .otherwise(F.to_json(F.struct(*meta, F.col("page.page_id").alias("page_id"), F.col("_t.item").alias("item"))))
     )
-    return log.select("*", F.explode(out).alias("_t")).select(F.col("_t.topic").alias("topic"), value.alias("value"))
+    rows = log.select("*", F.posexplode(out).alias("_n", "_t"))
+    number = F.col("log_id").cast("string") if "log_id" in log.columns else F.lit(None).cast("string")
+    record_id = [F.concat(number, F.lit("-"), F.col("_n").cast("string")).alias(RECORD_ID)] if ids else []
+    return rows.select(F.col("_t.topic").alias("topic"), value.alias("value"), *record_id)

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..constants import ITEM_KEYWORD, KEYWORD_SEARCH, PAGE_PRODUCT_DETAIL, REVIEW_GOOD
+from ..constants import ITEM_KEYWORD, KEYWORD_SEARCH, PAGE_PRODUCT_DETAIL, RECORD_ID, REVIEW_GOOD
 from ..functions.times import event_time, text_time, window_bounds
 from ..functions.words import explode_words, words
 from ..schemas import MONEY
@@ -30,6 +30,24 @@ def watermarked(df: DataFrame, delay: str, column: str = "ts") -> DataFrame:
     return df.withWatermark(column, delay) if df.isStreaming else df
 
 
+def record_id(rows: DataFrame, number: str | None = None) -> list[Column]:
+    """The records' ids, if the rows of a stream have them; `number` tells several rows of a record apart."""
+    if not rows.isStreaming or RECORD_ID not in rows.columns:
+        return []
+    return [(F.concat(F.col(RECORD_ID), F.lit("-"), F.col(number).cast("string")) if number else F.col(RECORD_ID)).alias(RECORD_ID)]
+
+
+def once(rows: DataFrame) -> DataFrame:
+    """Rows of a stream with a watermark, each record once: one that a writer repeated has its id. Rows without an id all
+    stay. An id is remembered until the watermark is as far past its row as it may be late."""
+    if RECORD_ID not in rows.columns:
+        return rows
+    if not rows.isStreaming:
+        return rows.drop(RECORD_ID)
+    named = rows.withColumn(RECORD_ID, F.coalesce(RECORD_ID, F.expr("uuid()")))
+    return named.dropDuplicatesWithinWatermark([RECORD_ID]).drop(RECORD_ID)
+
+
 # Visitors
 
 
@@ -38,6 +56,7 @@ def _visitor_rows(rows: DataFrame, **measures: Column) -> DataFrame:
         event_time("ts").alias("ts"),
         *[F.col(f"common.{c}").alias(c) for c in SEGMENT],
         *[measures.get(m, F.lit(0)).cast("long").alias(m) for m in VISITOR_MEASURES],
+        *record_id(rows),
     )
 
 
@@ -66,7 +85,7 @@ def visitor_union(pages: DataFrame, visits: DataFrame, jumps: DataFrame, delay:
     """
     duration = F.coalesce(F.col("page.during_time"), F.lit(0))
     views = _visitor_rows(pages, pv_ct=F.lit(1), sv_ct=is_entry().cast("long"), dur_sum=duration)
-    views, visits, jumps = (watermarked(x, delay) for x in (views, visits_counted(visits), jumps_counted(jumps)))
+    views, visits, jumps = (once(watermarked(x, delay)) for x in (views, visits_counted(visits), jumps_counted(jumps)))
     return views.unionByName(visits).unionByName(jumps)
 
 
@@ -90,6 +109,7 @@ def _product_rows(rows: DataFrame, ts: Column, sku: Column | str, **measures: Co
         *[measure(m, "long") for m in PRODUCT_COUNTS],
         *[measure(m, MONEY) for m in PRODUCT_AMOUNTS],
         *[measures.get(c, F.lit(None)).cast("long").alias(c) for c in PRODUCT_ORDERS.values()],
+        *record_id(rows),
     )
 
 
@@ -99,7 +119,8 @@ def shown_and_clicked(pages: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<item:string,clicked:int>>")
     click = F.when(F.col("page.page_id") == PAGE_PRODUCT_DETAIL, F.array(item(F.col("page.item").cast("string"), 1))).otherwise(none)
     shown = F.coalesce(F.transform("displays", lambda d: item(d["item"].cast("string"), 0)), none)
-    rows = pages.select("ts", F.explode(F.concat(click, shown)).alias("_i"))
+    rows = pages.select("*", F.posexplode(F.concat(click, shown)).alias("_n", "_i"))
+    rows = rows.select("ts", "_i", *record_id(rows, "_n"))
     return _product_rows(
         rows, event_time("ts"), "_i.item", click_ct=F.col("_i.clicked"), display_ct=1 - F.col("_i.clicked")
     )
@@ -162,7 +183,7 @@ def reviewed(rows: DataFrame) -> DataFrame:
 
 def product_union(*sources: DataFrame, delay: str = LATENESS) -> DataFrame:
     """The sources' rows. Streams have a watermark each, and the slowest one holds (see `visitor_union`)."""
-    return reduce(DataFrame.unionByName, [watermarked(s, delay) for s in sources])
+    return reduce(DataFrame.unionByName, [once(watermarked(s, delay)) for s in sources])
 
 
 def distinct_orders(rows: DataFrame, keys: list, names: list[str], sums=(), totals=()) -> DataFrame:
@@ -199,7 +220,7 @@ def province_stats(wide: DataFrame, size: str = "2 seconds", delay: str = LATENE
     """Amount, lines and orders by province and window of the order's creation."""
     timed = wide.withColumn("ts", text_time("create_time")) if "ts" not in wide.columns else wide
     by_order = (
-        watermarked(timed, delay)
+        once(watermarked(timed, delay))
         .groupBy(F.window("ts", size).alias("w"), *PROVINCE, "order_id")
         .agg(F.sum("split_total_amount").alias("order_amount"), F.count(F.lit(1)).alias("order_count"))
     )
@@ -218,12 +239,12 @@ def searches(pages: DataFrame) -> DataFrame:
     """Search phrases with their event time."""
     asked = pages.where((F.col("page")["item_type"] == ITEM_KEYWORD) & F.col("page")["item"].isNotNull())
     time = F.col("rowtime") if "rowtime" in pages.columns else event_time("ts")
-    return asked.select(F.col("page")["item"].alias("full_word"), time.alias("ts"))
+    return asked.select(F.col("page")["item"].alias("full_word"), time.alias("ts"), *record_id(pages))
 
 
 def keyword_stats(phrases: DataFrame, size: str = "2 seconds", delay: str = "2 seconds", split=words) -> DataFrame:
     """Occurrences of each word by window."""
-    said = explode_words(watermarked(phrases, delay), "full_word", "keyword", split)
+    said = explode_words(once(watermarked(phrases, delay)), "full_word", "keyword", split)
     return counted(said, size, "keyword").withColumn("source", F.lit(KEYWORD_SEARCH)).select("keyword", "ct", "source", "stt", "edt")
 
 

@@ -65,8 +65,8 @@ class Warehouse:
         tables = {part: store.read(name, columns.split(), rows=rows) for part, (name, columns) in C.DIMENSIONS.items()}
         return Dimensions(**tables)
 
-    def to_topic(self, topic: str, job: str) -> BatchWriter:
-        return topic_rows(topic, self.topics.writer(job))
+    def to_topic(self, topic: str, job: str, *identity: str) -> BatchWriter:
+        return topic_rows(topic, self.topics.writer(job), list(identity))
 
     def start(self, rows: DataFrame, job: str, write: BatchWriter) -> StreamingQuery:
         return start_batches(rows, write, f"{self.root}/checkpoints/{job}", trigger=self.trigger)
@@ -87,12 +87,12 @@ def change_route(w: Warehouse) -> StreamingQuery:
 def unique_visit(w: Warehouse) -> StreamingQuery:
     lines = w.read(C.DWD_PAGE, "unique_visit")
     rows = jobs.unique_visits(lines, delay=w.delay("unique_visit"), mode=w.visit_mode, keep_ms=w.visit_keep_ms)
-    return w.start(rows, "unique_visit", w.to_topic(C.DWM_UNIQUE_VISIT, "unique_visit"))
+    return w.start(rows, "unique_visit", w.to_topic(C.DWM_UNIQUE_VISIT, "unique_visit", "log_id"))
 
 
 def user_jump(w: Warehouse) -> StreamingQuery:
     rows = jobs.user_jumps(w.read(C.DWD_PAGE, "user_jump"), w.jump_timeout, w.delay("user_jump"))
-    return w.start(rows, "user_jump", w.to_topic(C.DWM_USER_JUMP, "user_jump"))
+    return w.start(rows, "user_jump", w.to_topic(C.DWM_USER_JUMP, "user_jump", "log_id"))
 
 
 def dirty_page(w: Warehouse) -> StreamingQuery:
@@ -101,14 +101,14 @@ def dirty_page(w: Warehouse) -> StreamingQuery:
 
 def order_wide(w: Warehouse) -> StreamingQuery:
     orders, details = (w.read(t, "order_wide") for t in (C.DWD_ORDER_INFO, C.DWD_ORDER_DETAIL))
-    write = jobs.named_orders(w.dimensions, w.to_topic(C.DWM_ORDER_WIDE, "order_wide"))
+    write = jobs.named_orders(w.dimensions, w.to_topic(C.DWM_ORDER_WIDE, "order_wide", "detail_id"))
     return w.start(jobs.order_wide(orders, details, w.delay("order_wide"), **w.bounds), "order_wide", write)
 
 
 def payment_wide(w: Warehouse) -> StreamingQuery:
     payments, wide = (w.read(t, "payment_wide") for t in (C.DWD_PAYMENT_INFO, C.DWM_ORDER_WIDE))
     rows = jobs.payment_wide(payments, wide, w.delay("payment_wide"))
-    return w.start(rows, "payment_wide", w.to_topic(C.DWM_PAYMENT_WIDE, "payment_wide"))
+    return w.start(rows, "payment_wide", w.to_topic(C.DWM_PAYMENT_WIDE, "payment_wide", "payment_id", "detail_id"))
 
 
 def visitor_stats(w: Warehouse) -> StreamingQuery:

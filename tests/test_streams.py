@@ -1,5 +1,6 @@
 """Each streaming job against the batch form of the same rows, with restarts and late rows."""
 
+import json
 from collections import Counter
 
 import pytest
@@ -11,6 +12,7 @@ from shopstrata.plans import layers
 from shopstrata.schemas import ROUTING
 from shopstrata.sources import sample
 from shopstrata.sources.dimstore import DimStore
+from shopstrata.sources.topics import FolderTopics
 from shopstrata.streaming import jobs, sinks
 from shopstrata.streaming.routing import RoutingConfig
 from shopstrata.streaming.state import known_visitors
@@ -352,6 +354,51 @@ def test_topics_that_lag_lose_nothing(spark):
     assert [float(x) for x in sums] == [3, 2, 38.0, 2, 38.0]
 
 
+def test_a_batch_written_twice_counts_once(spark, sample_dir):
+    """Topics whose writers repeated a micro-batch under a new name, as after a lost acknowledgement."""
+    pages = logs.page_rows(sample.app_log(spark, sample_dir)).where("ts is not null")
+    wide_rows = Q.order_wide_of(spark, sample_dir).drop("create_at")
+    paid = layers.payment_wide(sample.payment_info(spark, sample_dir), Q.order_wide_of(spark, sample_dir)).drop("payment_create_at")
+    inputs = {"pages": (pages, ["log_id"]), "wide": (wide_rows, ["detail_id"]), "paid": (paid, ["payment_id", "detail_id"])}
+    empty = {t: f(spark, sample_dir) for t, f in (("favor", sample.favor_info), ("cart", sample.cart_info), ("refund", sample.refund_info), ("comment", sample.comment_info))}
+    work = new_dir()
+    found = {}
+    for times in (1, 2):
+        topics_ = FolderTopics(str(work / f"topics{times}"), 1)
+        for topic, (rows, identity) in inputs.items():
+            write = sinks.topic_rows(topic, topics_.writer(f"job-{topic}"), identity)
+            for n in range(times):
+                write(rows.coalesce(1), sinks.Batch.of(0, f"query{n}"))
+        ends = {"wide": {"sku_id": -1, "create_time": FAR_TEXT}, "paid": {"sku_id": -1, "payment_create_time": FAR_TEXT}}
+        ends |= {t: {"sku_id": -1, "create_time": FAR_TEXT} for t in empty}
+        closing = [(t, json.dumps(r)) for t, r in ends.items()] + [("pages", json.dumps(r)) for r in CLOSING]
+        for n in (2, 3):
+            topics_.writer("end")(spark.createDataFrame(closing, "topic string, value string").coalesce(1), n)
+        read = lambda t: topics_.read(spark, t, "job")  # noqa: E731, B023
+        product = jobs.product_stats(read("pages"), read("favor"), read("cart"), read("wide"), read("paid"), read("refund"), read("comment"))
+        keyword = jobs.keyword_stats(read("pages"))
+        province = jobs.province_stats(read("wide"))
+        found[times] = [
+            rows_of(run(job, work / f"{name}{times}", work / f"cp-{name}{times}").where("stt < '2100'"))
+            for name, job in (("product", product), ("keyword", keyword), ("province", province))
+        ]
+        assert all(found[times])
+    assert found[1] == found[2]
+
+
+def test_ids_of_records(spark):
+    rows = spark.createDataFrame([("t", '{"a":1}', "7-1"), ("t", "{}", 'x"y'), ("t", '{"a":2}', None), ("t", "no object", "9")], "topic string, value string, record_id string")
+    topics_ = FolderTopics(str(new_dir()))
+    topics_.writer("job")(rows, 0)
+    work = new_dir()
+    found = run(topics_.read(spark, "t", "job"), work / "out", work / "cp")
+    want = {('{"record_id":"7-1","a":1}', "7-1"), ('{"record_id":"x\\"y"}', 'x"y'), ('{"a":2}', None), ("no object", None)}
+    assert {tuple(r) for r in found.select("value", "record_id").collect()} == want
+    log = spark.createDataFrame([('{"common":{"mid":"a"},"page":{"page_id":"p"},"displays":[{"item":"7"},{"item":"8"}],"ts":2}', 41)], "value string, log_id long")
+    records = logs.route_log(jobs.jsonio.parse(log, jobs.APP_LOG), ids=True).collect()
+    assert sorted(r.record_id for r in records) == ["41-0", "41-1", "41-2"]
+
+
 def test_dirty_pages_have_a_topic(spark):
     folder, work = new_dir() / "pages", new_dir()
     write_file(folder, [page("a", 1), {"ts": "never"}, {"common": {}}])
