@@ -508,18 +508,12 @@ def dws_keyword(spark, folder):
     return stats.keyword_stats(stats.searches(raw_pages(spark, folder)))
 
 
-_SERVED: dict[tuple[str, str], str] = {}
-
-
 def _order_stats(spark, folder) -> DataFrame:
-    """The day's product statistics as they are served; the table is written once for all reports of a session."""
-    key = spark.sparkContext.applicationId, folder
-    if key not in _SERVED:
-        root = f"{shared_dir(spark)}/serving-{uuid.uuid4().hex}"
-        rows = layers.product_stats(stats.ordered(bare_order_wide(spark, folder)), dimensions(spark, folder))
-        sinks.serving_folder(root)(PRODUCT_TABLE, PRODUCT_STATS)(rows, 0)
-        _SERVED[key] = f"{root}/{PRODUCT_TABLE}"
-    return sinks.read_day(spark, _SERVED[key], REPORT_DAY.isoformat())
+    """The day's parts of the rollup that the product job writes beside its statistics; built anew by each report."""
+    path = f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}"
+    rows = layers.product_stats(stats.ordered(bare_order_wide(spark, folder)), dimensions(spark, folder))
+    sinks.day_rollup(path)(rows, 0)
+    return sinks.read_rollup(spark, path, REPORT_DAY.isoformat())
 
 
 @query

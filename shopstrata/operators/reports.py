@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, functions as F
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
+def day_sums(stats: DataFrame) -> DataFrame:
+    """Order amounts by day and trademark: of product statistics, or of such sums again."""
+    day = F.col("dt") if "dt" in stats.columns else F.substring("stt", 1, 10)
+    return stats.groupBy(day.cast("string").alias("dt"), "tm_id", "tm_name").agg(F.sum("order_amount").cast("decimal(38,2)").alias("order_amount"))
+
+
 def of_day(stats: DataFrame, day: dt.date | None = None) -> DataFrame:
     """Windows that start on `day` (default: today). A range on the text `stt`, which reaches the scan as it is.
 
-    A table kept by day has a `dt` column besides; it leaves the other days' files unread.
+    A table kept by day has a `dt` column besides; it leaves the other days' files unread. A rollup has `dt` alone.
     """
     if day is None:
         first = F.date_format(F.current_date(), "yyyy-MM-dd")
@@ -20,7 +26,9 @@ def of_day(stats: DataFrame, day: dt.date | None = None) -> DataFrame:
     else:
         first, after = F.lit(day.isoformat()), F.lit((day + dt.timedelta(days=1)).isoformat())
     if "dt" in stats.columns:
-        stats = stats.where(F.col("dt") == first.cast("date"))
+        stats = stats.where(F.col("dt").cast("date") == first.cast("date")) if "stt" in stats.columns else stats.where(F.col("dt") == first)
+    if "stt" not in stats.columns:
+        return stats
     return stats.where((F.col("stt") >= first) & (F.col("stt") < after))
 
 

@@ -21,7 +21,7 @@ from ..sources.jdbc import read_query
 from ..sources.topics import PER_TRIGGER, FolderTopics, KafkaTopics
 from . import jobs
 from .routing import RoutingConfig
-from .sinks import BatchWriter, serving_folder, start_batches, topic_rows
+from .sinks import BatchWriter, both, day_rollup, serving_folder, start_batches, topic_rows
 from .state import ROCKSDB
 
 
@@ -53,6 +53,11 @@ class Warehouse:
     def dim_root(self) -> str:
         return f"{self.root}/dims"
 
+    @property
+    def rollup(self) -> str:
+        """The day sums of the product statistics, for the reports."""
+        return f"{self.root}/rollups/product_days"
+
     def read(self, topic: str, job: str) -> DataFrame:
         return self.topics.read(self.spark, topic, job)
 
@@ -128,7 +133,7 @@ def product_stats(w: Warehouse) -> StreamingQuery:
         C.DWD_COMMENT_INFO,
     )
     rows = jobs.product_stats(*[w.read(t, "product_stats") for t in topics], delay=w.delay("product_stats"))
-    return w.start(rows, "product_stats", jobs.named_products(w.dimensions, w.serving(C.PRODUCT_TABLE, PRODUCT_STATS)))
+    return w.start(rows, "product_stats", jobs.named_products(w.dimensions, both(w.serving(C.PRODUCT_TABLE, PRODUCT_STATS), day_rollup(w.rollup))))
 
 
 def province_stats(w: Warehouse) -> StreamingQuery:

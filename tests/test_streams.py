@@ -1,13 +1,15 @@
 """Each streaming job against the batch form of the same rows, with restarts and late rows."""
 
+import datetime as dt
 import json
 from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from shopstrata.checks import queries as Q
-from shopstrata.operators import logs, stats, visits, wide
+from shopstrata.operators import logs, reports, stats, visits, wide
 from shopstrata.plans import layers
 from shopstrata.schemas import ROUTING
 from shopstrata.sources import sample
@@ -419,3 +421,36 @@ def test_serving_days_fold(spark):
     sinks.fold_day(spark, f"{root}/t", "2024-03-01")
     sinks.fold_day(spark, f"{root}/t", "2024-03-01")
     assert read() == want
+
+
+def test_folds_that_stop_lose_nothing(spark):
+    """A fold that stops behind any of its steps: a later one ends it, and no row is lost or doubled."""
+    rows = lambda *x: spark.createDataFrame(x, "stt string, n int")
+    for steps in range(8):
+        root = str(new_dir())
+        write = sinks.serving_folder(root)("t", ["stt", "n"])
+        for n in range(3):
+            write(rows(("2024-03-01 00:00:00", n)), sinks.Batch.of(n, "a"))
+        folding = sinks._folding(spark, f"{root}/t", "dt=2024-03-01", lambda x: x)
+        done = [step for step, _ in zip(folding, range(steps))]
+        sinks.fold_day(spark, f"{root}/t", "2024-03-01")
+        found = spark.read.parquet(f"{root}/t")
+        assert sorted(r["n"] for r in found.collect()) == [0, 1, 2], (steps, done)
+        assert found.select("batch").distinct().count() == 1
+
+
+def test_rollup_of_days(spark):
+    path = str(new_dir() / "rollup")
+    write = sinks.day_rollup(path)
+    rows = lambda *x: spark.createDataFrame(x, "stt string, tm_id long, tm_name string, order_amount decimal(16,2)")
+    first = rows(("2024-03-01 00:00:00", 1, "A", Decimal("2.50")), ("2024-03-01 00:00:02", 1, "A", Decimal("1.00")), ("2024-04-01 00:00:00", 2, "B", None))
+    for _ in range(2):
+        write(first, sinks.Batch.of(0, "a"))
+    write(rows(("2024-03-01 23:59:58", 1, "A", Decimal("4.00")), ("2024-03-01 00:00:00", None, None, Decimal("1.00"))), sinks.Batch.of(1, "a"))
+    day = dt.date(2024, 3, 1)
+    for _ in range(2):
+        parts = sinks.read_rollup(spark, path, "2024-03-01")
+        assert reports.gmv(parts, day).first()[0] == Decimal("8.50")
+        assert [tuple(r) for r in reports.top_trademarks(parts.where("tm_name is not null"), day).collect()] == [("A", Decimal("7.50"))]
+        sinks.fold_month(spark, path, "2024-03")
+    assert reports.gmv(sinks.read_rollup(spark, path, "2024-05-01"), dt.date(2024, 5, 1)).first()[0] is None
