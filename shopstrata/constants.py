@@ -49,6 +49,8 @@ DIMENSIONS = {
     "trademarks": ("dim_base_trademark", "id tm_name"),
     "categories": ("dim_base_category3", "id name"),
 }
+#: The facts' key columns of the dimensions that they ask for.
+FACT_KEYS = {"users": "user_id", "provinces": "province_id", "skus": "sku_id"}
 
 # Serving tables.
 VISITOR_TABLE = "visitor_stats"

@@ -64,9 +64,11 @@ class Warehouse:
     def delay(self, job: str) -> str:
         return self.latenesses.get(job, self.lateness)
 
-    def dimensions(self) -> Dimensions:
+    def dimensions(self, facts: DataFrame | None = None) -> Dimensions:
+        """The dimension tables; of those that facts ask for by a key of theirs, only the buckets of their keys are read."""
         store = DimStore(self.spark, self.dim_root)
-        rows = store.rows()
+        keys = {C.DIMENSIONS[part][0]: c for part, c in C.FACT_KEYS.items() if facts is not None and c in facts.columns}
+        rows = store.rows_for(facts, keys) if keys else store.rows()
         tables = {part: store.read(name, columns.split(), rows=rows) for part, (name, columns) in C.DIMENSIONS.items()}
         return Dimensions(**tables)
 
@@ -106,7 +108,7 @@ def dirty_page(w: Warehouse) -> StreamingQuery:
 
 def order_wide(w: Warehouse) -> StreamingQuery:
     orders, details = (w.read(t, "order_wide") for t in (C.DWD_ORDER_INFO, C.DWD_ORDER_DETAIL))
-    write = jobs.named_orders(w.dimensions, w.to_topic(C.DWM_ORDER_WIDE, "order_wide", "detail_id"))
+    write = jobs.named_orders(w.dimensions, w.to_topic(C.DWM_ORDER_WIDE, "order_wide", "detail_id"), by_batch=True)
     return w.start(jobs.order_wide(orders, details, w.delay("order_wide"), **w.bounds), "order_wide", write)
 
 
@@ -133,7 +135,7 @@ def product_stats(w: Warehouse) -> StreamingQuery:
         C.DWD_COMMENT_INFO,
     )
     rows = jobs.product_stats(*[w.read(t, "product_stats") for t in topics], delay=w.delay("product_stats"))
-    return w.start(rows, "product_stats", jobs.named_products(w.dimensions, both(w.serving(C.PRODUCT_TABLE, PRODUCT_STATS), day_rollup(w.rollup))))
+    return w.start(rows, "product_stats", jobs.named_products(w.dimensions, both(w.serving(C.PRODUCT_TABLE, PRODUCT_STATS), day_rollup(w.rollup)), by_batch=True))
 
 
 def province_stats(w: Warehouse) -> StreamingQuery:

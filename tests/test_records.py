@@ -147,12 +147,63 @@ def test_dimensions_after_a_new_checkpoint_and_their_files(spark):
         store.write(dim_changes(spark, (n, {"id": "1", "name": f"old{n}"})), n, "first")
         if n % 2:
             store.fold()
-    assert not list(root.glob("changes/*/batch=*"))
+    # What the last fold replaced stays for its readers, until the next fold.
+    assert sorted(p.name for p in root.glob("changes/*/batch=*")) == ["batch=4", "batch=5"]
     assert len(list(root.glob("base/*"))) == 2 and len(list(root.glob("marks/*"))) == 2
+    store.fold()
+    assert not list(root.glob("changes/*/batch=*"))
+    assert len(list(root.glob("base/*"))) == 1 and len(list(root.glob("marks/*"))) == 1
     store.write(dim_changes(spark, (9, {"id": "1", "name": "new"})), 0, "second")
     assert [tuple(r) for r in store.read("dim_user", ["id", "name"]).collect()] == [("1", "new")]
 
 
+def test_folds_write_touched_buckets_and_reads_take_theirs(spark):
+    root = new_dir()
+    store = DimStore(spark, str(root), 16)
+    store.write(dim_changes(spark, *[(1, {"id": str(k), "name": f"n{k}"}) for k in range(200)]), 0)
+    store.fold()
+    assert len(list(root.glob("base/generation=1/sink_table=dim_user/bucket=*"))) == 16
+    store.write(dim_changes(spark, (2, {"id": "7", "name": "new", "city": "Oslo"}), (2, {"id": "500", "name": "n500"})), 1)
+    # A reader of this moment goes on while the change is folded.
+    before = store.read("dim_user", ["id", "name", "city"])
+    store.fold()
+    touched = list(root.glob("base/generation=2/sink_table=dim_user/bucket=*"))
+    assert 1 <= len(touched) <= 2
+    want = {(str(k), "new" if k == 7 else f"n{k}", "Oslo" if k == 7 else None) for k in [*range(200), 500]}
+    assert {tuple(r) for r in before.collect()} == want == {tuple(r) for r in store.read("dim_user", ["id", "name", "city"]).collect()}
+    store.write(dim_changes(spark, (3, {"id": "8", "name": "later"}), (3, {"id": "9", "name": "later"})), 2)
+    facts = spark.createDataFrame([(7, "a"), (8, "b"), (8, "c"), (None, "d")], "user_id long, x string")
+    some = store.rows_for(facts, {"dim_user": "user_id"})
+    paths = some.inputFiles()
+    buckets = {p.split("bucket=")[1].split("/")[0] for p in paths if "bucket=" in p}
+    assert len(buckets) <= 3
+    found = {r["id"]: r["name"] for r in store.read("dim_user", ["id", "name"], rows=some).collect()}
+    assert found["7"] == "new" and found["8"] == "later" and len(found) < 100
+    store.fold()
+    store.fold()
+    assert {r["id"]: r["name"] for r in store.read("dim_user", ["id", "name"]).collect()}["9"] == "later"
+    # Untouched buckets are still the first fold's.
+    assert len(list(root.glob("base/generation=1/sink_table=dim_user/bucket=*"))) >= 10
+
+
+def test_a_fold_that_stopped_is_begun_again(spark):
+    root = new_dir()
+    store = DimStore(spark, str(root))
+    store.write(dim_changes(spark, (1, {"id": "1", "name": "Ann"})), 0)
+    store.fold()
+    store.write(dim_changes(spark, (2, {"id": "1", "name": "Anna"}), (2, {"id": "2", "name": "Bo"})), 1)
+    store.fold()
+    # As if the driver had stopped before the last mark: its folder of the base is there, the mark is not.
+    for path in (root / "marks/2").iterdir():
+        path.unlink()
+    read = lambda: {tuple(r) for r in store.read("dim_user", ["id", "name"]).collect()}
+    assert read() == {("1", "Anna"), ("2", "Bo")}
+    store.fold()
+    assert read() == {("1", "Anna"), ("2", "Bo")}
+    store.fold()
+    assert read() == {("1", "Anna"), ("2", "Bo")}
+
+
 def test_dimension_columns_of_all_routing_rows():
     row = {"sink_table": "dim_x", "sink_columns": "id,name", "sink_pk": None}
     other = {"sink_table": "dim_x", "sink_columns": "id,level", "sink_pk": "id"}
