@@ -17,6 +17,7 @@ HEADLINE = [
     "dwd_log_topics",
     "dwd_db_route",
     "sink_dim_upsert",
+    "sink_dim_fold",
     "dwm_order_wide",
     "dwm_payment_wide",
     "dwm_order_wide_shuffled",
@@ -27,6 +28,7 @@ HEADLINE = [
     "dws_province",
     "dws_keyword",
     "udtf_tokenize",
+    "stream_user_jump",
     "agg_distinct_orders",
     "ads_gmv_day",
     "ads_gmv_trademark",

@@ -194,7 +194,8 @@ _add("sink_kafka_dynamic", "routed", """
            '{"id":"' || id || '"' || case type when 'insert' then ',"user_id":"' || user_id || '"' else '' end
            || ',"order_status":"' || order_status || '"}' as value
     from routed where sink_type = 'kafka'""")
-_add("sink_dim_upsert", "", """
+for _name in ("sink_dim_upsert", "sink_dim_fold"):
+    _add(_name, "", """
     select cast(c_custkey as varchar) as id, c_name as name, coalesce(o.segment, c_mktsegment) as segment
     from customer left join (select o_custkey, arg_max(o_orderpriority, o_orderkey) as segment from orders group by 1) o
          on o_custkey = c_custkey

@@ -139,8 +139,7 @@ def sink_kafka_dynamic(spark, folder):
     return changes.topic_records(changes.stream_changes(routed))
 
 
-@query
-def sink_dim_upsert(spark, folder):
+def _customers(spark, folder, fold: bool) -> DataFrame:
     columns = ["id", "name", "segment"]
     current = sample.table(spark, folder, "customer").select(
         F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
@@ -153,16 +152,29 @@ def sink_dim_upsert(spark, folder):
         data = F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))])
         return rows.select(F.lit("customer").alias("sink_table"), F.lit("id").alias("sink_pk"), data.alias("data"), xid.alias("xid"))
 
-    # Written, folded and written again; a later batch may carry an earlier version.
+    # A later batch may carry an earlier version.
     store = DimStore(spark, f"{shared_dir(spark)}/dims-{uuid.uuid4().hex}")
     later = F.col("xid") % 3 == 0
     store.write(changes_of(current, F.lit(-1), columns), 0)
     store.write(changes_of(orders.where(later), F.col("xid"), ["id", "segment"]), 1)
-    store.fold()
+    if fold:
+        store.fold()
     store.write(changes_of(orders.where(~later), F.col("xid"), ["id", "segment"]), 2)
     return store.read("customer", columns)
 
 
+@query
+def sink_dim_upsert(spark, folder):
+    """Three batches written and read."""
+    return _customers(spark, folder, fold=False)
+
+
+@query
+def sink_dim_fold(spark, folder):
+    """Two batches written and folded, a third written, and read."""
+    return _customers(spark, folder, fold=True)
+
+
 @query
 def dim_table_create(spark, folder):
     routed = changes.route_changes(sample.cdc_rows(spark, folder), sample.routing(spark))
@@ -774,3 +786,19 @@ def udtf_tokenize(spark, folder):
 @query
 def udtf_tokenize_phrase(spark, folder):
     return words.explode_words(sample.table(spark, folder, "part").select("p_partkey", "p_name"), "p_name")
+
+
+# Letters of the part names as Han characters, so that names are runs of them.
+_LETTERS, _HAN = "abcdefghijklmnoprstuvwy ", "实时数仓分析师大小中国商品订单用户天地人和平安 "
+_FRAGMENTS = "re ed er ree een reen in on an al el ol ld old ue lu lue st te ee ro ot hot ar ear ing ring"
+HAN_WORDS = _FRAGMENTS.translate(str.maketrans(_LETTERS, _HAN)).split()
+
+
+def han_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sample.table(spark, folder, "part")
+    return rows.select("p_partkey", F.translate(F.lower("p_name"), _LETTERS, _HAN).alias("phrase"))
+
+
+@query
+def udtf_tokenize_word_list(spark, folder):
+    return words.explode_words(han_phrases(spark, folder), "phrase", split=words.word_list_splitter(spark, HAN_WORDS))

@@ -28,30 +28,56 @@ def explode_words(df: DataFrame, phrase: str, word: str = "keyword", split=words
     return df.select(*kept, F.explode(split(F.col(phrase))).alias(word))
 
 
-def word_list_splitter(spark: SparkSession, known: Iterable[str]):
-    """A `split` for `explode_words` that keeps known Han words whole (longest match first).
+def trie_of(known: Iterable[str]) -> dict:
+    """Nested dicts by character; the key '' marks the end of a word."""
+    root: dict = {}
+    for word in known:
+        node = root
+        for c in word:
+            node = node.setdefault(c, {})
+        if word:
+            node[""] = True
+    return root
 
-    The list is a dictionary of the language, so its size does not grow with the data; more than LIST_BYTES is refused.
+
+def fewest_words(run: str, trie: dict) -> list[str]:
+    """`run` cut into known words and single characters, as few as there can be; of equal numbers the longer first words."""
+    n = len(run)
+    count, size = [0] * (n + 1), [1] * n
+    for i in reversed(range(n)):
+        count[i] = 1 + count[i + 1]
+        node = trie
+        for j in range(i, n):
+            node = node.get(run[j])
+            if node is None:
+                break
+            if "" in node and 1 + count[j + 1] <= count[i]:
+                count[i], size[i] = 1 + count[j + 1], j + 1 - i
+    out, at = [], 0
+    while at < n:
+        out.append(run[at : at + size[at]])
+        at += size[at]
+    return out
+
+
+def word_list_splitter(spark: SparkSession, known: Iterable[str], list_bytes: int = LIST_BYTES):
+    """A `split` for `explode_words` that cuts runs of Han characters into known words, as `fewest_words` does.
+
+    The list is a dictionary of the language, so its size does not grow with the data. It is sent to every executor; one of
+    more than `list_bytes` is refused.
     """
     known = frozenset(known)
-    if sum(map(sys.getsizeof, known)) > LIST_BYTES:
-        raise ValueError(f"a word list of more than {LIST_BYTES} bytes is no dictionary to send to every executor")
-    vocabulary = spark.sparkContext.broadcast(known)
-    longest = max((len(w) for w in vocabulary.value), default=1)
-
-    def cut(run: str) -> list[str]:
-        if not unicodedata.name(run[0], "").startswith("CJK"):
-            return [run]
-        out, at = [], 0
-        while at < len(run):
-            sizes = range(min(longest, len(run) - at), 1, -1)
-            size = next((n for n in sizes if run[at : at + n] in vocabulary.value), 1)
-            out.append(run[at : at + size])
-            at += size
-        return out
+    if sum(map(sys.getsizeof, known)) > list_bytes:
+        raise ValueError(f"a word list of more than {list_bytes} bytes is no dictionary to send to every executor")
+    vocabulary = spark.sparkContext.broadcast(trie_of(known))
 
     @F.pandas_udf("array<string>")
     def cut_runs(phrases: pd.Series) -> pd.Series:
+        trie = vocabulary.value
+
+        def cut(run: str) -> list[str]:
+            return fewest_words(run, trie) if unicodedata.name(run[0], "").startswith("CJK") else [run]
+
         return phrases.map(lambda runs: None if runs is None else [w for run in runs for w in cut(run)])
 
     return lambda phrase: cut_runs(F.regexp_extract_all(F.lower(phrase), F.lit(RUN), F.lit(0)))

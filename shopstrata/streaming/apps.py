@@ -25,6 +25,10 @@ from .sinks import BatchWriter, both, day_rollup, serving_folder, start_batches,
 from .state import ROCKSDB
 
 
+#: Which of several topics' watermarks holds: `min`, the slowest one's, or `max`. A query keeps what its checkpoint began with.
+WATERMARK_POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
+
+
 @dataclass
 class Warehouse:
     """What the jobs read and write. `root` is a folder every executor can reach."""
@@ -178,12 +182,16 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--routing-query", default="select * from table_process")
     parser.add_argument("--lateness", default=LATENESS, help="how far rows of a topic may be out of order")
     parser.add_argument("--per-trigger", type=int, default=PER_TRIGGER, help="rows of a Kafka topic, or files of a folder, in a batch")
+    parser.add_argument(
+        "--idle-topics", action="store_true", help="close windows by the topic that is furthest, so that a silent one holds none open; rows of a slower topic are late then"
+    )
     parser.add_argument("--known-visitors", help="parquet (mid, ts) of devices that were new before log_split's checkpoint began")
     parser.add_argument("--visit-mode", default="first", choices=["first", "first_day"], help="which entries of a device are unique visits")
     parser.add_argument("--visit-keep-hours", type=float, help="first_day: forget a device so long after its last entry that counted")
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     args = parser.parse_args(argv)
     builder = SparkSession.builder.appName(args.app).config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    builder = builder.config(WATERMARK_POLICY, "max" if args.idle_topics else "min")
     spark = builder.getOrCreate()
     topics = KafkaTopics(args.servers, per_trigger=args.per_trigger) if args.servers else FolderTopics(args.topic_folder, args.per_trigger)
     routing = (lambda: read_query(spark, args.routing_url, args.routing_query)) if args.routing_url else None

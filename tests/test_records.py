@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from shopstrata.operators import changes, dims, logs, reports, stats, visits, wi
 from shopstrata.schemas import APP_LOG, CDC_ROW, CDC_ROWCHANGE, ORDER_INFO, PAGE_VIEW, PRODUCT_STATS, ROUTING
 from shopstrata.sources import jdbc, topics
 from shopstrata.sources.dimstore import DimStore, table_columns
+from shopstrata.checks import queries
 from shopstrata.streaming import sinks
 from shopstrata.streaming.routing import RoutingConfig
 
@@ -242,6 +245,31 @@ def test_words(spark):
     assert [r[0] for r in words.explode_words(phrase, "p", split=split).collect()] == ["spark", "实时", "数仓", "v2", "1", "été"]
 
 
+def cuts(run, known):
+    """All cuts of a run into known words and single characters."""
+    if not run:
+        return [[]]
+    return [[run[:n], *rest] for n in range(1, len(run) + 1) if n == 1 or run[:n] in known for rest in cuts(run[n:], known)]
+
+
+def best_cut(run, known):
+    return min(cuts(run, known), key=lambda c: (len(c), [-len(w) for w in c]))
+
+
+def test_word_list_takes_the_fewest_words(spark, sample_dir):
+    rnd, known = random.Random(3), {"ab", "abc", "bcd", "cd", "d", "dea", "ea", "aaaa", "bb", ""}
+    trie = words.trie_of(known)
+    for _ in range(300):
+        run = "".join(rnd.choice("abcde") for _ in range(rnd.randrange(1, 12)))
+        assert words.fewest_words(run, trie) == best_cut(run, known)
+    phrases = [tuple(r) for r in queries.han_phrases(spark, sample_dir).collect()]
+    want = Counter((k, w) for k, p in phrases for run in p.split() for w in best_cut(run, set(queries.HAN_WORDS)))
+    found = Counter(tuple(r) for r in queries.QUERIES["udtf_tokenize_word_list"](spark, sample_dir).select("p_partkey", "keyword").collect())
+    assert found == want and any(len(w) > 1 for _, w in found)
+    with pytest.raises(ValueError):
+        words.word_list_splitter(spark, ["实时"], list_bytes=10)
+
+
 def test_reports(spark):
     rows = [("2021-07-21 23:59:58", "b", 3), ("2021-07-21 00:00:00", "a", 3), ("2021-07-21 10:00:00", "c", 9),
             ("2021-07-21 10:00:00", "zero", 0), ("2021-07-22 00:00:00", "c", 100), ("2021-07-20 23:59:58", "c", 100)]

@@ -15,7 +15,7 @@ from shopstrata.schemas import ROUTING
 from shopstrata.sources import sample
 from shopstrata.sources.dimstore import DimStore
 from shopstrata.sources.topics import FolderTopics
-from shopstrata.streaming import jobs, sinks
+from shopstrata.streaming import apps, jobs, sinks
 from shopstrata.streaming.routing import RoutingConfig
 from shopstrata.streaming.state import known_visitors
 
@@ -454,3 +454,24 @@ def test_rollup_of_days(spark):
         assert [tuple(r) for r in reports.top_trademarks(parts.where("tm_name is not null"), day).collect()] == [("A", Decimal("7.50"))]
         sinks.fold_month(spark, path, "2024-03")
     assert reports.gmv(sinks.read_rollup(spark, path, "2024-05-01"), dt.date(2024, 5, 1)).first()[0] is None
+
+
+def test_a_silent_topic_may_hold_no_window(spark):
+    """By the policy `max` windows close without the jumps' topic; by default they wait for it."""
+    base = 1_704_067_200_000
+    found = {}
+    for policy in ("min", "max"):
+        work = new_dir()
+        folders = {t: work / t for t in ("pages", "visits", "jumps")}
+        for t, folder in folders.items():
+            folder.mkdir(parents=True)
+            for at in () if t == "jumps" else (base, base + 120_000, base + 240_000):
+                write_file(folder, [page("m", at)])
+        spark.conf.set(apps.WATERMARK_POLICY, policy)
+        try:
+            out = run(jobs.visitor_stats(*[lines(spark, f) for f in folders.values()]), work / "out", work / "cp")
+            found[policy] = out.agg(F.sum("pv_ct"), F.sum("uv_ct")).first()
+        finally:
+            spark.conf.unset(apps.WATERMARK_POLICY)
+    assert tuple(found["min"]) == (None, None)
+    assert tuple(found["max"]) == (2, 2)
