@@ -28,7 +28,6 @@ HEADLINE = [
     "dws_province",
     "dws_keyword",
     "udtf_tokenize",
-    "stream_user_jump",
     "agg_distinct_orders",
     "ads_gmv_day",
     "ads_gmv_trademark",
