@@ -255,3 +255,38 @@ def test_alignment_is_the_longest_common_sequence():
             for j, b in enumerate(whole):
                 best[i + 1][j + 1] = best[i][j] + 1 if a == b else max(best[i][j + 1], best[i + 1][j])
         assert match is not None and match.words == best[-1][-1]
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_scan_finds_what_whole_alignments_find(spark):
+    """Altered templates among other words: found where the most words in order, over the whole text, are four fifths."""
+    rnd = random.Random(21)
+    templates = {f"T{k}": [" ".join(f"t{k}w{rnd.randrange(60)}" for _ in range(rnd.choice([14, 30, 80])))] for k in range(6)}
+    texts = []
+    for _ in range(80):
+        parts = []
+        for name in rnd.sample(sorted(templates), rnd.randrange(3)):
+            words = templates[name][0].split()
+            for _ in range(rnd.randrange(len(words) // 4)):
+                at = rnd.randrange(len(words))
+                words[at : at + rnd.randrange(2)] = ["other"] * rnd.randrange(2)
+            parts += [f"f{rnd.randrange(900)}" for _ in range(rnd.randrange(30))] + words
+        texts.append(" ".join([*parts, "end"]))
+    texts += [texts[0], "", None]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, matches string, n_licenses int")
+    found = {r.doc_id: r.licenses for r in licenses.scan(docs, templates).collect()}
+    wanted = 0
+    for i, text in enumerate(texts):
+        words = (text or "").split()
+        share = {name: longest_common(t.split(), words) / len(t.split()) for name, (t,) in templates.items()}
+        assert found[i] == sorted(n for n, s in share.items() if s >= licenses.COVERAGE - 1e-9), (i, share)
+        wanted += len(found[i])
+    assert wanted > 40 and found[0] == found[80]
