@@ -14,7 +14,7 @@ from .shared import small_batches
 Maker = Callable[[], Callable[[pa.Array], list[pa.Array]]]
 
 #: Bytes of text that are handled at once; one longer text is handled alone.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 19
 
 
 def lengths(texts: pa.Array) -> np.ndarray:

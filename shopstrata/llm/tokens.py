@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 import regex
 
-from .words import U, _ranges, hash_long, mixed
+from .words import Powers, U, _ranges, hash_long, mixed
 
 LETTER, NUMBER, SPACE, OTHER, END = 1, 2, 3, 0, 4
 #: Distinct pre-tokens that a worker remembers before it starts anew.
@@ -51,14 +51,7 @@ def _codes() -> np.ndarray:
     return mixed(np.arange(1, 0x110001, dtype=U) ^ U(_SECRET))
 
 
-_BASE = U(_SECRET | 1)
-_UNBASE = U(pow(int(_BASE), -1, 1 << 64))
-
-
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        return tuple(np.concatenate([[U(1)], np.cumprod(np.full(1 << bits, b, U))]) for b in (_BASE, _UNBASE))
+_POWERS = Powers(_SECRET | 1)
 
 
 def steady(text: str) -> bool:
@@ -104,8 +97,7 @@ class Cut:
         at = np.flatnonzero(real)
         self.begin, self.end = bounds[at], bounds[at + 1]
         with np.errstate(over="ignore"):
-            bits = max(16, len(cp).bit_length())
-            up, down = _powers(bits) if bits <= 22 else _powers.__wrapped__(bits)
+            up, down = _POWERS.upto(len(cp))
             sums = np.concatenate([[U(0)], np.cumsum(_codes()[cp] * up[: len(cp)])])
             self.hash = mixed((sums[self.end] - sums[self.begin]) * down[self.begin])
         hash_long(self.hash, cp, self.begin, self.end, _SECRET)

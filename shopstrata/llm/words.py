@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 
 U = np.uint64
-_BASE = U(0x9E3779B97F4A7C15 | 1)
-_UNBASE = U(pow(int(_BASE), -1, 1 << 64))
 _PIECE = 1 << 20
 #: Sums of letters times powers modulo 2^64 cancel out for some pairs of long words whatever the base; those are hashed by XXH3.
 LONG_WORD = 64
@@ -43,10 +40,29 @@ LETTERS = byte_set((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 VISIBLE = ~byte_set((0x20, 0x20), (0x09, 0x0D))
 
 
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        return tuple(np.concatenate([[U(1)], np.cumprod(np.full(n, b, U))]) for b in (_BASE, _UNBASE))
+class Powers:
+    """Powers of an odd number and of its inverse modulo 2^64. One pair of tables is kept, as long as any that was asked for;
+    one for more than KEPT numbers is made for the occasion."""
+
+    KEPT = 4 * _PIECE
+
+    def __init__(self, base: int):
+        self.bases = U(base), U(pow(base, -1, 1 << 64))
+        self.tables = (np.zeros(0, U),) * 2
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """At least the powers 0 to n - 1 of both."""
+        if n <= len(self.tables[0]):
+            return self.tables
+        size = -(-n // (1 << 16)) << 16
+        with np.errstate(over="ignore"):
+            tables = tuple(np.concatenate([[U(1)], np.cumprod(np.full(size - 1, b, U))]) for b in self.bases)
+        if n <= self.KEPT:
+            self.tables = tables
+        return tables
+
+
+_POWERS = Powers(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -110,8 +126,7 @@ def _piece(data: np.ndarray, a: int, b: int, inside: np.ndarray):
     edges = np.flatnonzero(kind[1:] != kind[:-1])
     full = np.flatnonzero(kind[edges + 1] != 0)
     begin, end = edges[full], edges[full + 1]
-    size = 1 << max(16, int(len(part)).bit_length())
-    up, down = _powers(size) if size <= 4 * _PIECE else _powers.__wrapped__(size)
+    up, down = _POWERS.upto(len(part))
     with np.errstate(over="ignore"):
         sums = np.concatenate([[U(0)], np.cumsum(_LETTER[part] * up[: len(part)])])
         hashes = mixed((sums[end] - sums[begin]) * down[begin])
