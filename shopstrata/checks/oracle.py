@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import queries
+
 ORACLE: dict[str, str] = {}
 
 _TIME = "'%Y-%m-%d %H:%M:%S'"
@@ -438,3 +440,21 @@ _add("udtf_tokenize", "", r"""
     from (select doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) as keyword from documents) group by 1""")
 _add("udtf_tokenize_phrase", "", r"""
     select p_partkey, unnest(regexp_extract_all(lower(p_name), '[\p{L}\p{N}]+')) as keyword from part""")
+
+
+_HAN_LIST = ", ".join(f"'{w}'" for w in queries.HAN_WORDS)
+_add("udtf_tokenize_word_list", "", rf"""
+    with recursive runs as (
+        select p_partkey, unnest(regexp_extract_all(translate(lower(p_name), '{queries.LETTERS}', '{queries.HAN}'), '\p{{Han}}+|[0-9qxz]+')) as run
+        from part),
+    cuts(run, pos, sizes) as (
+        select distinct run, 0, cast([] as bigint[]) from runs where regexp_matches(run, '\p{{Han}}')
+        union all
+        select run, pos + n, list_append(sizes, n) from cuts, range(1, 12) t(n)
+        where pos + n <= length(run) and (n = 1 or substr(run, pos + 1, n) in ({_HAN_LIST}))),
+    best as (
+        select run, min({{'n': len(sizes), 's': list_transform(sizes, lambda x: -x)}}).s as less from cuts where pos = length(run) group by run),
+    pieces as (
+        select run, substr(run, 1 - coalesce(list_sum(less[1 : i - 1]), 0), -less[i]) as keyword
+        from (select run, less, unnest(range(1, len(less) + 1)) as i from best))
+    select p_partkey, coalesce(keyword, run) as keyword from runs left join pieces using (run)""")

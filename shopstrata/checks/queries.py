@@ -789,14 +789,14 @@ def udtf_tokenize_phrase(spark, folder):
 
 
 # Letters of the part names as Han characters, so that names are runs of them.
-_LETTERS, _HAN = "abcdefghijklmnoprstuvwy ", "实时数仓分析师大小中国商品订单用户天地人和平安 "
+LETTERS, HAN = "abcdefghijklmnoprstuvwy ", "实时数仓分析师大小中国商品订单用户天地人和平安 "
 _FRAGMENTS = "re ed er ree een reen in on an al el ol ld old ue lu lue st te ee ro ot hot ar ear ing ring"
-HAN_WORDS = _FRAGMENTS.translate(str.maketrans(_LETTERS, _HAN)).split()
+HAN_WORDS = _FRAGMENTS.translate(str.maketrans(LETTERS, HAN)).split()
 
 
 def han_phrases(spark: SparkSession, folder: str) -> DataFrame:
     rows = sample.table(spark, folder, "part")
-    return rows.select("p_partkey", F.translate(F.lower("p_name"), _LETTERS, _HAN).alias("phrase"))
+    return rows.select("p_partkey", F.translate(F.lower("p_name"), LETTERS, HAN).alias("phrase"))
 
 
 @query
