@@ -455,6 +455,6 @@ _add("udtf_tokenize_word_list", "", rf"""
     best as (
         select run, min({{'n': len(sizes), 's': list_transform(sizes, lambda x: -x)}}).s as less from cuts where pos = length(run) group by run),
     pieces as (
-        select run, substr(run, 1 - coalesce(list_sum(less[1 : i - 1]), 0), -less[i]) as keyword
+        select run, substr(run, cast(1 - coalesce(list_sum(less[1 : i - 1]), 0) as bigint), -less[i]) as keyword
         from (select run, less, unnest(range(1, len(less) + 1)) as i from best))
     select p_partkey, coalesce(keyword, run) as keyword from runs left join pieces using (run)""")
