@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +19,19 @@ Maker = Callable[[], Callable[[pa.Array], list[pa.Array]]]
 PART_BYTES = 1 << 19
 
 
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`work`, and behind a task's last batch its freed memory goes back to the machine: workers stay for later tasks, and
+    what their allocators keep counts as the executor's."""
+
+    def run(batches):
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has this
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def lengths(texts: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -54,4 +69,4 @@ def with_columns(df: DataFrame, text: str, fields: str, maker: Maker, keep: list
                 columns = [part.column(c) for c in kept] + list(make(part.column(hidden)))
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, *new.names])
 
-    return source.mapInArrow(work, schema)
+    return source.mapInArrow(released(work), schema)

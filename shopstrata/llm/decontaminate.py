@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import parts
+from .batches import parts, released
 from .shared import small_batches
 from .words import LETTERS, U, Words, _ranges, mixed, split
 
@@ -153,7 +153,7 @@ def marked(
                 for part in parts(batch, hidden):
                     yield _search(part, patterns.value, kept, hidden)
 
-        source = source.mapInArrow(work, source.schema)
+        source = source.mapInArrow(released(work), source.schema)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
     return (
         source.drop(hidden)

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import PART_BYTES, parts
+from .batches import PART_BYTES, parts, released
 from .components import components
 from .shared import table
 from .words import U, VISIBLE, mixed, split, windows
@@ -138,7 +138,7 @@ def sketches(docs: DataFrame, like: Likeness) -> DataFrame:
                 columns = [part.column("doc_id"), pa.array([len(x) for x in found], pa.int64()), digests, _lists(low), _lists(bands)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "digest", "low", "bands"])
 
-    return docs.mapInArrow(work, "doc_id long, n_shingles long, digest binary, low array<long>, bands array<long>")
+    return docs.mapInArrow(released(work), "doc_id long, n_shingles long, digest binary, low array<long>, bands array<long>")
 
 
 def _matches(a: str, b: str) -> F.Column:
@@ -188,7 +188,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
                         a.append(doc_id), b.append(key[0])
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.repartition("b", "chunk").sortWithinPartitions("b", "chunk", "member").mapInArrow(work, "a long, b long")
+    return rows.repartition("b", "chunk").sortWithinPartitions("b", "chunk", "member").mapInArrow(released(work), "a long, b long")
 
 
 def _wide(docs: DataFrame, like: Likeness) -> DataFrame:
@@ -205,7 +205,7 @@ def _wide(docs: DataFrame, like: Likeness) -> DataFrame:
                     low = low_bits(minima([found[i] for i in some], WIDE))
                     yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(some)), _lists(low)], names=["rep", "wide"])
 
-    return docs.mapInArrow(work, "rep long, wide array<long>")
+    return docs.mapInArrow(released(work), "rep long, wide array<long>")
 
 
 def _mixed_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -277,7 +277,7 @@ def _crossing(rows: DataFrame, sketch: DataFrame, like: Likeness, best: bool) ->
             pairs = np.concatenate(found, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    return groups.select("members", "number").mapInArrow(work, "a long, b long").distinct()
+    return groups.select("members", "number").mapInArrow(released(work), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .batches import parts
+from .batches import parts, released
 from .shared import table
 from .tokens import encoder
 
@@ -133,7 +133,7 @@ def cut(docs: DataFrame, path: str, id_column: str, text: str, end_id: int, capa
                 columns = [part.column("doc_id").take(pa.array(owner)), pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(size), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(size), task, np.int32)), pa.array(rank)], names=names)
 
-    return source.mapInArrow(work, "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long")
+    return source.mapInArrow(released(work), "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long")
 
 
 def packed(
@@ -165,4 +165,4 @@ def packed(
             offset = rows[at, 4] + place % rows[at, 3] * length
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], names=[*batch.schema.names[:5], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(work, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(released(work), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

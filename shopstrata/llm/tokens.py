@@ -21,7 +21,7 @@ from .words import Powers, U, _ranges, hash_long, mixed
 
 LETTER, NUMBER, SPACE, OTHER, END = 1, 2, 3, 0, 4
 #: Distinct pre-tokens that a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: A longer text is cut at blanks between two letters, where a pre-token always ends.
 LONG = 1 << 20
 #: Scripts whose letters are the same in all Unicode versions of the last years, and symbols.
