@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.times import day_of, event_time
-from ..streaming.state import first_day_visits, jumps_with_timers
+from ..streaming.state import first_day_visits, jumps_by_slots
 from .joins import balanced_join
 from .logs import entry_pages, is_entry, time_order
 
@@ -56,7 +56,7 @@ def user_jumps(
     A follow-up is a page reached from another page, after the entry (by time and id) and less than the timeout later.
     """
     if pages.isStreaming:
-        return jumps_with_timers(pages, timeout_seconds, delay, id_col)
+        return jumps_by_slots(pages, timeout_seconds, delay, id_col)
     timeout = timeout_seconds * 1000
     # A device's log is cut into slots of one timeout, so a busy device is many groups, and of a slot's follow-ups only
     # the last and the first matter: a later one in the entry's own slot is within the timeout, and of the next slot

@@ -1,6 +1,6 @@
 """The operators that need state of their own on a stream: new visitors, a visitor's first day, and jumps.
 
-All three need the RocksDB state store.
+The first two need the RocksDB state store.
 """
 
 from __future__ import annotations
@@ -136,93 +136,36 @@ def first_day_visits(pages: DataFrame, zone: str | None = None, keep_ms: int | N
     return _from_record(kept, pages)
 
 
-_SLOT_KEY = T.StructType([T.StructField("slot", T.LongType())])
-_ENTRY = T.StructType([T.StructField("ts", T.LongType()), T.StructField("id", T.LongType()), T.StructField("record", T.StringType())])
-_SLOT = T.StructType([
-    *[T.StructField(n, T.LongType()) for n in ("last_ts", "last_id", "first_ts")],
-    T.StructField("entries", T.ArrayType(_ENTRY)),
-])
 #: Ids of pages that have none: such a follow-up counts as later than an entry of the same time.
 _LATEST = (1 << 63) - 1
 
 
-class _OpenEntries(StatefulProcessor):
-    """A device's pages by slots of one timeout: entries that nothing has followed yet, and the last and first follow-up.
-
-    An entry in slot s is followed by a later page of slot s, or by one of slot s + 1 that is less than the timeout behind it.
-    A follow-up deletes the entries before it; a slot's timer emits those that are left when slot s + 1 is over, and one more
-    timeout later what the slot holds is forgotten.
-    """
-
-    def __init__(self, timeout_ms: int):
-        self._timeout = timeout_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._slots = handle.getMapState("slots", _SLOT_KEY, _SLOT)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        slots: dict[int, list] = {}
-        changed: set[int] = set()
-        for chunk in rows:
-            for ts, id_, entry, record in zip(chunk["ts"].tolist(), chunk["id"].tolist(), chunk["entry"].tolist(), chunk["record"].tolist()):
-                slot = self._slot(slots, ts // self._timeout)
-                changed.add(ts // self._timeout)
-                if entry:
-                    slot[3].append((ts, id_, record))
-                else:
-                    if slot[0] is None or (ts, id_) > (slot[0], slot[1]):
-                        slot[0], slot[1] = ts, id_
-                    slot[2] = ts if slot[2] is None else min(slot[2], ts)
-        for s in changed | {s - 1 for s in changed if slots[s][2] is not None}:
-            slot = self._slot(slots, s)
-            left = [e for e in slot[3] if not self._followed(e, slot, self._slot(slots, s + 1))]
-            if s not in changed and len(left) == len(slot[3]):
-                continue
-            self._slots.updateValue((s,), (slot[0], slot[1], slot[2], left))
-            if s in changed:
-                self._handle.registerTimer((s + 2) * self._timeout)
-        yield pd.DataFrame({"record": pd.Series([], dtype=str)})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        number = expiredTimerInfo.getExpiryTimeInMs() // self._timeout - 2
-        slots: dict[int, list] = {}
-        slot = self._slot(slots, number)
-        if slot[3]:
-            after = self._slot(slots, number + 1)
-            yield pd.DataFrame({"record": [e[2] for e in slot[3] if not self._followed(e, slot, after)]}, dtype=str)
-        # Entries of the slot before, which need this slot's first follow-up, had their timer one timeout ago.
-        self._slots.removeKey((number,))
-
-    def _slot(self, slots: dict[int, list], number: int) -> list:
-        if number not in slots:
-            found = self._slots.getValue((number,)) if self._slots.containsKey((number,)) else None
-            slots[number] = [None, None, None, []] if found is None else [*found[:3], [tuple(e) for e in found[3]]]
-        return slots[number]
-
-    def _followed(self, entry: tuple, slot: list, after: list) -> bool:
-        ts, id_, _ = entry
-        later = slot[0] is not None and (slot[0], slot[1]) > (ts, -1 if id_ == _LATEST else id_)
-        return later or (after[2] is not None and after[2] < ts + self._timeout)
-
-    def close(self) -> None:
-        pass
-
-
-def jumps_with_timers(pages: DataFrame, timeout_seconds: int, delay: str, id_col: str = "log_id") -> DataFrame:
+def jumps_by_slots(pages: DataFrame, timeout_seconds: int, delay: str, id_col: str = "log_id") -> DataFrame:
     """Entry pages that no page of their device followed within the timeout, as `visits.user_jumps` defines them.
 
-    An entry comes out when the watermark has passed the end of the slot of one timeout behind its own, so at most two timeouts
-    behind it. The state of a device is what the watermark has not passed.
+    A window is two slots of one timeout: the entries of the first, and of the follow-ups only two numbers. An entry is
+    followed by a later page of its own slot, or by one of the next slot that is less than the timeout behind it. An entry
+    comes out when the watermark has passed the end of its window, so at most two timeouts behind it; then the window is
+    forgotten.
     """
     identity = F.coalesce(F.col(id_col).cast("long"), F.lit(_LATEST)) if id_col in pages.columns else F.lit(_LATEST)
     known = pages.where("common.mid is not null and ts is not null")
     rows = known.select(
         F.col("common.mid").alias("mid"), "ts", identity.alias("id"), is_entry().alias("entry"),
-        F.when(is_entry(), _as_record(pages.columns)).alias("record"), event_time("ts").alias("at"),
+        F.when(is_entry(), F.struct(*pages.columns)).alias("record"), event_time("ts").alias("at"),
     )
-    jumps = rows.withWatermark("at", delay).groupBy("mid").transformWithStateInPandas(
-        statefulProcessor=_OpenEntries(timeout_seconds * 1000), outputStructType=_RECORD, outputMode="Append", timeMode="EventTime"
-    )
-    return _from_record(jumps, pages)
+    window = F.window("at", f"{2 * timeout_seconds} seconds", f"{timeout_seconds} seconds").alias("w")
+    timed = rows.withWatermark("at", delay).select("*", window)
+    own = F.col("ts") < F.unix_millis("w.start") + timeout_seconds * 1000
+    slots = timed.where(~F.col("entry") | own).groupBy("w", "mid").agg(
+        F.collect_list(F.when(F.col("entry"), F.struct("ts", "id", "record"))).alias("entries"),
+        F.max(F.when(~F.col("entry") & own, F.struct("ts", "id"))).alias("last"),
+        F.min(F.when(~F.col("entry") & ~own, F.col("ts"))).alias("after"),
+    )
+
+    def followed(e: Column) -> Column:
+        order = F.struct(e["ts"].alias("ts"), F.when(e["id"] == _LATEST, -1).otherwise(e["id"]).alias("id"))
+        return F.coalesce(F.col("last") > order, F.lit(False)) | F.coalesce(F.col("after") < e["ts"] + timeout_seconds * 1000, F.lit(False))
 
+    jumps = slots.select(F.explode(F.filter("entries", lambda e: ~followed(e))).alias("e"))
+    return jumps.select(*[F.col(f"e.record.{c}").alias(c) for c in pages.columns])
