@@ -20,8 +20,8 @@ import regex
 from .words import Powers, U, _ranges, hash_long, mixed
 
 LETTER, NUMBER, SPACE, OTHER, END = 1, 2, 3, 0, 4
-#: Distinct pre-tokens that a worker remembers before it starts anew.
-REMEMBERED = 150_000
+#: Distinct pre-tokens that a worker remembers before it forgets the rare ones: some 30 bytes each.
+REMEMBERED = 400_000
 #: A longer text is cut at blanks between two letters, where a pre-token always ends.
 LONG = 1 << 20
 #: Scripts whose letters are the same in all Unicode versions of the last years, and symbols.
@@ -124,30 +124,51 @@ class Cut:
 
 
 class Remembered:
-    """Values (arrays of numbers) by the hash of a pre-token, each made once."""
+    """Values (arrays of numbers) by the hash of a pre-token, each made once. Of more than REMEMBERED those stay that were
+    asked for again since the last time, if they are at most half as many."""
 
     def __init__(self, make, dtype):
         self.make, self.dtype = make, dtype
         self.clear()
 
     def clear(self):
-        self.row, self.at, self.size, self.flat = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+        self.keys, self.row, self.again = np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.at, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, self.dtype)
+
+    def forget(self):
+        kept = np.flatnonzero(self.again)
+        if 2 * len(kept) > REMEMBERED:
+            return self.clear()
+        place = np.full(len(self.again), -1, np.int32)
+        place[kept] = np.arange(len(kept))
+        row = place[self.row]
+        self.keys, self.row, self.again = self.keys[row >= 0], row[row >= 0], np.zeros(len(kept), bool)
+        size = self.size[kept]
+        self.flat = self.flat[_ranges(self.at[kept], size)]
+        self.at, self.size = np.cumsum(size, dtype=np.int64) - size, size
 
     def rows(self, hashes: np.ndarray, string) -> np.ndarray:
         back, unique = pd.factorize(hashes)
         index = np.empty(len(unique), np.int64)
         index[back[::-1]] = np.arange(len(hashes))[::-1]
-        if len(self.row) > REMEMBERED:
-            self.clear()
-        keys = unique.tolist()
-        rows = np.fromiter((self.row.get(k, -1) for k in keys), np.int64, len(keys))
-        missing = np.flatnonzero(rows < 0)
+        if len(self.keys) > REMEMBERED:
+            self.forget()
+        place = np.searchsorted(self.keys, unique)
+        known = place < len(self.keys)
+        known[known] = self.keys[place[known]] == unique[known]
+        rows = np.empty(len(unique), np.int64)
+        rows[known] = self.row[place[known]]
+        self.again[rows[known]] = True
+        missing = np.flatnonzero(~known)
         if len(missing):
             flat, size = self.make([string(i) for i in index[missing]])
-            rows[missing] = len(self.row) + np.arange(len(missing))
-            self.row.update(zip((keys[i] for i in missing), rows[missing].tolist()))
-            self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
+            rows[missing] = len(self.again) + np.arange(len(missing))
+            new = missing[np.argsort(unique[missing])]
+            self.keys = np.insert(self.keys, place[new], unique[new])
+            self.row = np.insert(self.row, place[new], rows[new].astype(np.int32))
+            self.again = np.concatenate([self.again, np.zeros(len(missing), bool)])
+            self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size, dtype=np.int64) - size])
+            self.size = np.concatenate([self.size, size.astype(np.int32)])
             self.flat = np.concatenate([self.flat, flat.astype(self.dtype)])
         return rows[back]
 

@@ -174,3 +174,30 @@ def test_words_whose_sums_cancel_out(spark, size):
     assert len(set(words.split(pa.array([one, other]), words.VISIBLE).hash.tolist())) == 2
     near = minhash.near_duplicates(df, minhash.Likeness(size=3, above=85, below=100))
     assert {r.doc_id: r.component_id for r in near.collect()} == {i: i for i in range(len(texts))}
+
+
+def test_frequent_pre_tokens_stay_remembered(monkeypatch):
+    """Of more pre-tokens than a worker remembers, those asked for again stay; whatever was forgotten is made again."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 100)
+    rng, made_of = np.random.default_rng(3), []
+
+    def make(strings):
+        made_of.extend(strings)
+        size = np.array([len(s) for s in strings])
+        return np.concatenate([np.full(n, int(s)) for n, s in zip(size, strings)]), size
+
+    found = tokens.Remembered(make, np.uint32)
+    for step in range(60):
+        asked = np.concatenate([np.arange(1, 21), rng.integers(100, 100_000, 30)]).astype(np.uint64)
+        asked = np.concatenate([asked, asked[::-2]])
+        rows = found.rows(words.mixed(asked), lambda i: str(asked[i]))
+        for value, row in zip(asked.tolist(), rows.tolist()):
+            ids = found.flat[found.at[row] : found.at[row] + found.size[row]].tolist()
+            assert ids == [value] * len(str(value))
+        assert len(found.keys) == len(found.row) == len(found.again) <= 100 + 50
+    assert all(made_of.count(str(n)) == 1 for n in range(1, 21))
+    # More that are asked for again than may stay: it starts anew.
+    for step in range(10):
+        many = np.arange(200, dtype=np.uint64) + np.uint64(1)
+        rows = found.rows(words.mixed(many), lambda i: str(many[i]))
+        assert found.flat[found.at[rows]].tolist() == many.tolist()
