@@ -161,17 +161,22 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
-    """Of the pairs (a, b) of ids those whose full sets are alike.
+    """Of the pairs (a, b; a table) of ids those whose full sets are alike.
 
     A text that stands in many pairs is taken beside at most about BESIDE others at once, so no group is unbounded.
     """
-    counts = pairs.groupBy("b").agg(F.count("*").alias("n"))
-    chunk = F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / BESIDE)).cast("int")
-    pairs = pairs.join(counts, "b").select("a", "b", chunk.alias("chunk"))
-    heads = pairs.select(F.col("b").alias("doc_id"), "b", "chunk").distinct().withColumn("member", F.lit(False))
-    members = pairs.select(F.col("a").alias("doc_id"), "b", "chunk", F.lit(True).alias("member"))
-    ids = table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    rows = heads.unionByName(members).join(_only(docs, ids), "doc_id").select("b", "chunk", "member", "doc_id", "text")
+    few = 2 * pairs.count() <= BROADCAST_IDS // 4  # rows of four columns
+    counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / BESIDE).cast("int").alias("chunks"))
+    heads = counts.select(F.col("b").alias("doc_id"), "b", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("member"))
+    chunk = F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int")
+    members = pairs.join(F.broadcast(counts) if few else counts, "b").select(F.col("a").alias("doc_id"), "b", chunk.alias("chunk"), F.lit(True).alias("member"))
+    rows = heads.unionByName(members)
+    if few:
+        rows = docs.join(F.broadcast(rows), "doc_id")
+    else:
+        ids = table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+        rows = rows.join(_only(docs, ids), "doc_id")
+    rows = rows.select("b", "chunk", "member", "doc_id", "text")
 
     def work(batches):
         at, beside = None, []
@@ -296,24 +301,25 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), id_column: str
     rows = classes.select("rep", F.posexplode("bands").alias("number", "band"))
     hubs = rows.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub != last").select("band", "hub")
     shared = table(rows.join(hubs, "band"), "buckets")
-    pairs = shared.where("rep != hub").select("rep", "hub").distinct()
+    # A class has few bands: its pairs are dealt by it alone, which the join below takes as they are.
+    pairs = shared.where("rep != hub").select("rep", "hub").repartition("rep").distinct()
     sides = classes.select("rep", "low"), classes.select(F.col("rep").alias("hub"), F.col("low").alias("hub_low"))
     rated = pairs.join(sides[0], "rep").join(sides[1], "hub").withColumn("matches", _matches("low", "hub_low"))
     best = rated.where(F.col("matches") >= like.matches()).groupBy("rep").agg(F.max(F.struct("matches", -F.col("hub"))).alias("m"))
     first = table(best.select(F.col("rep").alias("a"), (-F.col("m.col2")).alias("b")), "candidates")
-    links = table(confirm(first, docs, like), "links")
-    labels = components(links)
+    labels = components(table(confirm(first, docs, like), "links"))
 
     sketch = None
     for best_only in (True, False):
+        # Components only grow, so the buckets and members of later rounds are among those of the first.
         buckets = _mixed_buckets(shared, labels)
-        # Components only grow, so the members of later rounds are among those of the first.
+        shared = buckets.select("rep", "band", "number")
         sketch = _wide_sketches(buckets, classes, docs, like) if sketch is None else sketch
         crossing = table(_crossing(buckets, sketch, like, best_only), "candidates")
         if crossing.isEmpty():
             break
-        links = table(links.unionByName(confirm(crossing, docs, like)), "links")
-        labels = components(links)
+        links = table(confirm(crossing, docs, like), "links")
+        labels = components(links.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
 
     named = classes.select("digest", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("digest", F.coalesce("component", "rep").alias("component_id"))

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,36 @@ def test_components(spark, seed):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(sys.modules[components.__module__], "BROADCAST_IDS", 0)
+    rnd, n = random.Random(3), 200
+    links = [(i, i + 1) for i in range(60)] + [(rnd.randrange(60, n), rnd.randrange(60, n)) for _ in range(150)] + [(5, 5), (3, 4), (4, 3), (None, 7)]
+    found = sorted(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
+    want = classes(n, [x for x in links if None not in x])
+    assert found == [(i, c) for i, c in enumerate(want) if i != c]
+
+
+def tasks_of(spark, work):
+    """How many tasks `work` runs."""
+    group = f"counted-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+    return sum(x.numCompletedTasks for x in map(tracker.getStageInfo, stages) if x)
+
+
+def test_stars_need_no_round(spark):
+    stars = spark.createDataFrame([(i, i % 5) for i in range(50)], "a long, b long").coalesce(1)
+    found = []
+    n = tasks_of(spark, lambda: found.extend(components(stars).collect()))
+    assert {tuple(r) for r in found} == {(i, i % 5) for i in range(5, 50)}
+    assert n <= 10
+
+
 # Texts
 
 
@@ -87,6 +118,31 @@ def test_near_duplicates(spark, monkeypatch, like):
     assert minhash.near_duplicates(docs.limit(0), like).count() == 0
 
 
+def test_near_duplicates_over_many_partitions(spark):
+    """Of few documents most tasks are empty: each table and each exchange costs as many as there are partitions."""
+    rnd = random.Random(4)
+    texts = []
+    for _ in range(12):
+        texts.append(" ".join(f"v{rnd.randrange(300)}" for _ in range(120)))
+        for _ in range(5):
+            texts.append(changed(rnd, texts[-1], 2))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    like, held = minhash.Likeness(3, 85, 100), {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    found = []
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        n = tasks_of(spark, lambda: found.extend(minhash.near_duplicates(docs, like).collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sets = [shingles(t, 3) for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(classes(len(texts), links)))
+    assert n <= 60 * 20
+
+
 def test_estimates_and_losses():
     rng = np.random.default_rng(8)
     for like in (minhash.Likeness(3, 85, 100), minhash.Likeness()):
